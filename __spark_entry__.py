@@ -9,7 +9,7 @@ library's operators over the whole tables.  Timestamps leave as
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -388,6 +388,183 @@ def q_idle_dbu_per_week(spark, sf_dir):
     return idle_dbu_per_week(_cost_log(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- streamed flows (files -> stream -> table)
+def _scratch(spark, name):
+    from lakeshift.session import scratch_dir
+
+    return scratch_dir(spark, name)
+
+
+@_register(
+    "json_stream_bronze",
+    """SELECT CAST(event_id AS VARCHAR) AS id, event_type, 'user_' || CAST(user_id AS VARCHAR) AS actor_login,
+              user_id AS actor_id, 'repo_' || CAST(user_id % 40 AS VARCHAR) AS repo_name, ts AS event_time,
+              CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'org_' || CAST(user_id % 5 AS VARCHAR) END AS org_login,
+              CASE WHEN event_id % 77 = 0 THEN NULL ELSE event_id % 2 = 0 END AS public,
+              NULLIF(concat_ws(',', CASE WHEN event_id % 50 = 0 THEN 'extra_field' END,
+                                    CASE WHEN event_id % 77 = 0 THEN 'public' END), '') AS rescued_keys,
+              true AS has_source_file
+       FROM events""",
+)
+def q_json_stream_bronze(spark, sf_dir):
+    from lakeshift.plans.medallion import ingest_bronze
+    from lakeshift.sources.files import read_stored
+
+    root = _scratch(spark, "json_bronze")
+    fx.write_event_drop(fx.table(spark, sf_dir, "events"), f"{root}/raw", mutate=True)
+    ingest_bronze(spark, f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=2)
+    bronze = read_stored(spark, f"{root}/bronze")
+    flat = flatten_events(bronze)
+    keys = F.array_join(F.array_sort(F.map_keys(F.from_json("_rescued_data", "map<string,string>"))), ",")
+    return as_naive_timestamps(
+        flat.join(bronze.select("id", "_rescued_data"), "id").select(
+            "id", "event_type", "actor_login", "actor_id", "repo_name", "event_time", "org_login", "public",
+            keys.alias("rescued_keys"), F.col("_source_file").isNotNull().alias("has_source_file"),
+        )
+    )
+
+
+@_register("medallion_gold_top", _top_sql("repo_name", "hour", 20, True))
+def q_medallion_gold_top(spark, sf_dir):
+    from lakeshift.plans.medallion import MedallionPaths, run_medallion
+    from lakeshift.sources.files import read_stored
+
+    root = _scratch(spark, "medallion")
+    fx.write_event_drop(fx.table(spark, sf_dir, "events"), f"{root}/raw", mutate=False)
+    paths = MedallionPaths(f"{root}/raw", f"{root}/bronze", f"{root}/_ckpt", f"{root}/silver", f"{root}/top", f"{root}/vol")
+    run_medallion(spark, paths, fx.FIXTURE_VALID_TYPES, fx.FIXTURE_COUNTERS, 20)
+    return as_naive_timestamps(read_stored(spark, paths.gold_top))
+
+
+@_register(
+    "csv_evolution",
+    """SELECT c_custkey AS customer_id, c_name AS customer_name, c_acctbal AS account_balance,
+              CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS segment,
+              CASE WHEN c_custkey % 3 = 2 THEN c_nationkey END AS nation
+       FROM customer""",
+)
+def q_csv_evolution(spark, sf_dir):
+    from lakeshift.plans.csv_autoload import run_csv_autoload
+
+    root = _scratch(spark, "csv_autoload")
+    fx.write_customer_csv_drop(fx.table(spark, sf_dir, "customer"), f"{root}/drop")
+    table = run_csv_autoload(spark, f"{root}/drop", f"{root}/table", f"{root}/_schema", f"{root}/_ckpt", 2)
+    return table.select(
+        F.col("customer_id").cast("bigint"),
+        F.col("customer_name").cast("string"),
+        F.col("account_balance").cast("double"),
+        F.col("segment").cast("string"),
+        F.col("nation").cast("int"),
+    )
+
+
+_FEED2_SQL = f"""
+    SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name,
+           CASE WHEN c_custkey % 5 = 0 THEN lpad(CAST(100 + c_custkey % 500 AS VARCHAR), 3, '0') || '-' ||
+                lpad(CAST(1 + c_custkey % 98 AS VARCHAR), 2, '0') || '-' || lpad(CAST(1 + c_custkey % 9998 AS VARCHAR), 4, '0')
+                ELSE {_SSN_SQL} END AS ssn,
+           CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 100.0 ELSE c_acctbal END AS account_balance,
+           's' || CAST(c_custkey AS VARCHAR) AS record_id, 'seed' AS source_system,
+           TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 30 DAY + to_seconds(c_custkey) AS event_ts
+    FROM customer"""
+_FEED_CHECKED_SQL = _CHECKED_SQL.replace(f"FROM ({_CUSTOMERS_SQL}) c", f"FROM ({_CUSTOMERS_SQL} UNION ALL {_FEED2_SQL}) c")
+_CUST_CONTENT = ["customer_name", "ssn", "account_balance", "record_id", "source_system", "ssn_norm", "error_rules", "warning_rules"]
+_CUST_TRACK = ["customer_name", "ssn", "account_balance", "source_system", "ssn_norm"]
+
+
+def _run_exception_flow(spark, sf_dir):
+    from lakeshift.plans.exceptions import ExceptionPaths, run_exception_workflow
+
+    root = _scratch(spark, "exceptions")
+    fx.write_customer_feed(fx.table(spark, sf_dir, "customer"), f"{root}/raw")
+    names = ["checkpoint", "checked", "exceptions", "exceptions_log", "exceptions_history", "valid", "valid_log", "valid_history"]
+    paths = ExceptionPaths(f"{root}/raw", *[f"{root}/{n}" for n in names])
+    return run_exception_workflow(spark, paths, as_of=AS_OF, buckets=8)
+
+
+def _history_out(hist):
+    return as_naive_timestamps(
+        hist.select(
+            "customer_id", "customer_name", "ssn", "account_balance", "record_id", "source_system", "ssn_norm",
+            rule_names("_errors").alias("error_rules") if "_errors" in hist.columns else F.lit(None).cast("string").alias("error_rules"),
+            rule_names("_warnings").alias("warning_rules") if "_warnings" in hist.columns else F.lit(None).cast("string").alias("warning_rules"),
+            "event_ts", "__START_AT", "__END_AT",
+        )
+    )
+
+
+@_register(
+    "stream_open_exceptions",
+    "SELECT * FROM ("
+    + _scd2_sql(
+        f"SELECT * FROM ({_FEED_CHECKED_SQL}) k WHERE error_rules IS NOT NULL OR warning_rules IS NOT NULL",
+        "customer_id", "event_ts", _CUST_TRACK, _CUST_CONTENT,
+    )
+    + ') h WHERE "__END_AT" IS NULL',
+)
+def q_stream_open_exceptions(spark, sf_dir):
+    exc_hist, _ = _run_exception_flow(spark, sf_dir)
+    return _history_out(latest(exc_hist))
+
+
+@_register(
+    "stream_valid_history",
+    _scd2_sql(
+        f"SELECT * FROM ({_FEED_CHECKED_SQL}) k WHERE error_rules IS NULL",
+        "customer_id", "event_ts", _CUST_TRACK, _CUST_CONTENT,
+    ),
+)
+def q_stream_valid_history(spark, sf_dir):
+    _, valid_hist = _run_exception_flow(spark, sf_dir)
+    return _history_out(valid_hist)
+
+
+@_register(
+    "sliced_stream",
+    """SELECT 'fixture' AS source, date_trunc('hour', ts) AS time, max(value) AS temperature, '°C' AS unit,
+              'loc_' || CAST(user_id AS VARCHAR) AS location_name,
+              40.0 + CAST(user_id % 10 AS DOUBLE) AS latitude, -80.0 - CAST(user_id % 7 AS DOUBLE) AS longitude,
+              100.0 AS elevation, 0.25 AS generationtime_ms, 0 AS utc_offset_seconds,
+              'GMT' AS timezone, 'GMT' AS timezone_abbreviation
+       FROM events GROUP BY user_id, date_trunc('hour', ts)""",
+)
+def q_sliced_stream(spark, sf_dir):
+    from lakeshift.plans.sliced_ingest import run_sliced_ingest
+
+    events = fx.table(spark, sf_dir, "events")
+    root = _scratch(spark, "sliced")
+    fx.write_api_responses(events, f"{root}/responses")
+    # The source's plan: the location list and the covered range (one row each).
+    locations = [
+        {"name": r["name"], "latitude": r["latitude"], "longitude": r["longitude"]}
+        for r in fx.fixture_locations(events).collect()
+    ]
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    span_hours = int((hi - lo).total_seconds() // 3600) + 2
+    table = run_sliced_ingest(
+        spark, locations, {"url": "", "source": "fixture"}, f"{root}/table", f"{root}/_ckpt",
+        start=lo.isoformat(), end=(hi.replace(minute=0, second=0, microsecond=0) + timedelta(hours=1)).isoformat(),
+        hours_per_slice=max(24, span_hours // 2), fetcher="files", root=f"{root}/responses",
+    )
+    cols = ["source", "time", "temperature", "unit", "location_name", "latitude", "longitude", "elevation",
+            "generationtime_ms", "utc_offset_seconds", "timezone", "timezone_abbreviation"]
+    return as_naive_timestamps(table.select(*cols))
+
+
+@_register(
+    "cost_monitor_alerts",
+    f"""SELECT run_id, run_timestamp, cluster_id, dbu_estimate,
+               'ALERT: Cluster ' || cluster_id || ' is idle but consuming ' || CAST(dbu_estimate AS VARCHAR)
+               || ' DBU/hr. Consider terminating.' AS message
+        FROM ({_COST_LOG_SQL}) l WHERE idle""",
+)
+def q_cost_monitor_alerts(spark, sf_dir):
+    from lakeshift.plans.cost_monitor import run_cost_monitor
+
+    root = _scratch(spark, "cost")
+    return run_cost_monitor(spark, fx.cluster_samples(fx.table(spark, sf_dir, "orders")), f"{root}/cost_log")
+
+
 # ---------------------------------------------------------------- contract
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: hourly top repositories (silver -> roll-up -> tie-aware top-K)."""

@@ -170,3 +170,74 @@ def location_ranges(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").agg(
         F.date_trunc("hour", F.min("ts")).cast("timestamp_ntz").alias("start"), F.max("ts").alias("end")
     )
+
+
+# ------------------------------------------------------------------ file drops for the streamed flows
+RECORDS_PER_FILE = 2500
+
+
+def raw_event_lines(events: DataFrame, mutate: bool = True) -> DataFrame:
+    """JSON lines of raw events.  With ``mutate``: every 50th event carries an
+    unknown ``extra_field`` and every 77th a mistyped ``public`` ("yes")."""
+    line = F.to_json(F.struct(*[F.col(c) for c in raw_events(events).columns]))
+    df = raw_events(events).select(F.col("id").cast("bigint").alias("__eid"), line.alias("value"))
+    if mutate:
+        eid, v = F.col("__eid"), F.col("value")
+        v = F.when(eid % 77 == 0, F.regexp_replace(v, '"public":(true|false)', '"public":"yes"')).otherwise(v)
+        v = F.when(eid % 50 == 0, F.concat(F.substring(v, 1, F.length(v) - 1), F.lit(',"extra_field":123}'))).otherwise(v)
+        df = df.select(v.alias("value"))
+    return df.select("value")
+
+
+def write_event_drop(events: DataFrame, folder: str, mutate: bool = True) -> str:
+    """Write raw event JSON lines as several files (no shuffle: split by count)."""
+    raw_event_lines(events, mutate).write.option("maxRecordsPerFile", RECORDS_PER_FILE).mode("overwrite").text(folder)
+    return folder
+
+
+def write_customer_csv_drop(customer: DataFrame, folder: str) -> str:
+    """Three CSV batches whose headers differ: (id, name, balance); + segment;
+    reordered + nation."""
+    k = F.col("c_custkey")
+    base = customer.select(
+        k.alias("customer_id"),
+        F.col("c_name").alias("customer_name"),
+        F.col("c_acctbal").alias("account_balance"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").alias("nation"),
+        k,
+    )
+    groups = [
+        base.filter(k % 3 == 0).select("customer_id", "customer_name", "account_balance"),
+        base.filter(k % 3 == 1).select("customer_id", "customer_name", "account_balance", "segment"),
+        base.filter(k % 3 == 2).select("segment", "account_balance", "customer_id", "customer_name", "nation"),
+    ]
+    for i, g in enumerate(groups):
+        g.write.option("header", "true").option("maxRecordsPerFile", RECORDS_PER_FILE).mode(
+            "overwrite" if i == 0 else "append"
+        ).csv(folder)
+    return folder
+
+
+def write_customer_feed(customer: DataFrame, folder: str) -> str:
+    """The two customer loads appended one after the other (append-only table)."""
+    both = customer_changes(customer)
+    first = both.filter(F.col("record_id").startswith("r"))
+    second = both.filter(F.col("record_id").startswith("s"))
+    first.write.mode("overwrite").parquet(folder)
+    second.write.mode("append").parquet(folder)
+    return folder
+
+
+def write_api_responses(events: DataFrame, folder: str) -> str:
+    """API bodies as JSON lines per location folder (``location_name=<name>``)."""
+    api_responses(events).select("location_name", "body").write.partitionBy("location_name").mode(
+        "overwrite"
+    ).text(folder)
+    return folder
+
+
+def fixture_locations(events: DataFrame) -> DataFrame:
+    """Distinct locations (one per user) with coordinates."""
+    name, lat, lon = location_of()
+    return events.select("user_id").distinct().select(F.col("user_id"), name.alias("name"), lat, lon)
