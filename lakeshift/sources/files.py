@@ -173,7 +173,13 @@ def read_csv_evolving(
         f.select(*[F.col(c.name).cast(merged[c.name].dataType).alias(c.name) for c in f.schema.fields]) for f in frames
     ]
     combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cast)
-    return combined.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in merged.fields])
+    present = set(combined.columns)
+    return combined.select(
+        *[
+            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in merged.fields
+        ]
+    )
 
 
 # ------------------------------------------------------------------------ stored tables
