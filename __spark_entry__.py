@@ -412,12 +412,11 @@ def q_json_stream_bronze(spark, sf_dir):
 
     root = _scratch(spark, "json_bronze")
     fx.write_event_drop(fx.table(spark, sf_dir, "events"), f"{root}/raw", mutate=True)
-    ingest_bronze(spark, f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint", max_files_per_trigger=2)
-    bronze = read_stored(spark, f"{root}/bronze")
-    flat = flatten_events(bronze)
+    ingest_bronze(spark, f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint")
+    flat = flatten_events(read_stored(spark, f"{root}/bronze"), carry=("_rescued_data",))
     keys = F.array_join(F.array_sort(F.map_keys(F.from_json("_rescued_data", "map<string,string>"))), ",")
     return as_naive_timestamps(
-        flat.join(bronze.select("id", "_rescued_data"), "id").select(
+        flat.select(
             "id", "event_type", "actor_login", "actor_id", "repo_name", "event_time", "org_login", "public",
             keys.alias("rescued_keys"), F.col("_source_file").isNotNull().alias("has_source_file"),
         )

@@ -38,16 +38,16 @@ FLAT_EVENT_COLUMNS = (
 METADATA_COLUMNS = ("_ingested_at", "_source_file")
 
 
-def flatten_events(bronze: DataFrame) -> DataFrame:
+def flatten_events(bronze: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Nested bronze event -> flat silver columns.
 
     A missing parent struct (``org`` NULL) yields NULL leaves.  Ingestion
-    metadata columns are carried when present.  Only the referenced leaves are
-    read (nested schema pruning reaches the parquet scan).
+    metadata columns (and ``carry`` columns) are kept when present.  Only the
+    referenced leaves are read (nested schema pruning reaches the parquet scan).
     """
     cols = [F.col(src).alias(dst) for dst, src in FLAT_EVENT_COLUMNS]
     cols.insert(6, parse_timestamp("created_at").alias("event_time"))
-    cols += [F.col(m) for m in METADATA_COLUMNS if m in bronze.columns]
+    cols += [F.col(m) for m in (*METADATA_COLUMNS, *carry) if m in bronze.columns]
     return bronze.select(*cols)
 
 

@@ -143,7 +143,7 @@ def api_responses(events: DataFrame) -> DataFrame:
     """
     hourly = hourly_readings(events)
     per_day = hourly.groupBy("user_id", F.date_trunc("day", "hour").cast("timestamp_ntz").alias("day")).agg(
-        F.array_sort(F.collect_list(F.struct("hour", "reading"))).alias("h")
+        F.sort_array(F.collect_list(F.struct("hour", "reading"))).alias("h")
     )
     name, lat, lon = location_of()
     body = F.to_json(
@@ -230,10 +230,14 @@ def write_customer_feed(customer: DataFrame, folder: str) -> str:
 
 
 def write_api_responses(events: DataFrame, folder: str) -> str:
-    """API bodies as JSON lines per location folder (``location_name=<name>``)."""
-    api_responses(events).select("location_name", "body").write.partitionBy("location_name").mode(
-        "overwrite"
-    ).text(folder)
+    """API bodies as JSON lines per location folder (``location_name=<name>``).
+
+    Clustered by location first, so each location folder is written by one task
+    (one file) instead of one file per task per location."""
+    # explicit count: AQE may not coalesce it into one task writing every folder
+    parts = 2 * events.sparkSession.sparkContext.defaultParallelism
+    bodies = api_responses(events).select("location_name", "body").repartition(parts, "location_name")
+    bodies.write.partitionBy("location_name").mode("overwrite").text(folder)
     return folder
 
 

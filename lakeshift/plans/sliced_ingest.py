@@ -30,13 +30,16 @@ def run_sliced_ingest(
     endpoint: dict,
     table: str,
     checkpoint: str,
-    partition_by: Sequence[str] = ("location_name",),
+    partition_by: Sequence[str] = ("latitude", "longitude"),
     **options,
 ) -> DataFrame:
     """Fetch every complete slice since the last offset, append, stop.
 
-    Partitioned by location name (doubles such as latitude make poor partition
-    directory keys)."""
+    Stored partitioned by ``partition_by`` (by coordinates by default, as the
+    flow's table is; pass ``("location_name",)`` or a date column where that
+    prunes better)."""
+    # At most ~2 tasks per core per trigger unless the caller decides otherwise.
+    options.setdefault("max_partitions", 2 * spark.sparkContext.defaultParallelism)
     stream = sliced_stream(spark, locations, endpoint, **options)
     run_to_completion(append_stream(stream, table, checkpoint, partition_by=list(partition_by)))
     return read_stored(spark, table)

@@ -14,7 +14,12 @@ Options (all strings):
   to the hour; a location added later starts there too;
 * ``end`` — optional fixed ISO end (bounded back-fill); default: the clock,
   floored to the hour, so only complete hours are planned and none is skipped;
-* ``hours_per_slice`` — hours per input partition (default 1);
+* ``hours_per_slice`` — hours per slice / API call (default 1);
+* ``slices_per_partition`` — slices fetched by one task (default 1: one call
+  per task); larger values amortise task start-up when calls are small and
+  locations many;
+* ``max_partitions`` — cap on input partitions per trigger (0 = none); slices
+  are then spread evenly over that many tasks;
 * ``max_retries`` / ``backoff_sec`` — HTTP retries with exponential back-off;
   a slice that still fails fails the task (and the batch), never skipped;
 * ``fetcher`` = ``http`` (default) or ``files`` with ``root``: responses stored
@@ -52,6 +57,19 @@ class Slice(InputPartition):
         self.name, self.lat, self.lon, self.start, self.end = name, lat, lon, start, end
 
 
+class SliceGroup(InputPartition):
+    """Several slices read by one task (consecutive: same location together)."""
+
+    def __init__(self, slices: list[Slice]):
+        self.slices = slices
+
+
+def group_slices(slices: list[Slice], per_partition: int) -> list[InputPartition]:
+    if per_partition <= 1:
+        return list(slices)
+    return [SliceGroup(slices[i : i + per_partition]) for i in range(0, len(slices), per_partition)]
+
+
 def plan(locations: list[dict], start: dict, end: dict, initial: str, hours_per_slice: int = 1) -> list[Slice]:
     """Slices of whole hours covering ``[start, end)`` per location, disjoint."""
     step = HOUR * max(1, int(hours_per_slice))
@@ -136,6 +154,8 @@ class _Options:
         self.initial = floor_hour(_parse(o.get("start") or default_start.isoformat())).isoformat()
         self.fixed_end = o.get("end")
         self.hours_per_slice = int(o.get("hours_per_slice", 1))
+        self.slices_per_partition = int(o.get("slices_per_partition", 1))
+        self.max_partitions = int(o.get("max_partitions", 0))
         self.max_retries = int(o.get("max_retries", 3))
         self.backoff = float(o.get("backoff_sec", 1.0))
         self.fetcher = o.get("fetcher", "http")
@@ -146,14 +166,25 @@ class _Options:
             return floor_hour(_parse(self.fixed_end)).isoformat()
         return floor_hour(datetime.now(timezone.utc).replace(tzinfo=None)).isoformat()
 
-    def read(self, part: Slice) -> Iterator[tuple]:
+    def plan(self, start: dict, end: dict) -> list[InputPartition]:
+        slices = plan(self.locations, start, end, self.initial, self.hours_per_slice)
+        per = self.slices_per_partition
+        if self.max_partitions > 0:
+            per = max(per, -(-len(slices) // self.max_partitions))
+        return group_slices(slices, per)
+
+    def read(self, part: InputPartition) -> Iterator[tuple]:
         source = self.endpoint.get("source", "")
-        if self.fetcher == "files":
-            bodies = file_fetch(self.root, part)
-        else:
-            bodies = http_fetch(self.endpoint, part, self.max_retries, self.backoff)
-        for body in bodies:
-            yield from rows_of(body, part, source)
+        cache: dict[str, list[dict]] = {}
+        for one in part.slices if isinstance(part, SliceGroup) else [part]:
+            if self.fetcher == "files":
+                if one.name not in cache:  # a task reads a location's stored responses once
+                    cache[one.name] = file_fetch(self.root, one)
+                bodies = cache[one.name]
+            else:
+                bodies = http_fetch(self.endpoint, one, self.max_retries, self.backoff)
+            for body in bodies:
+                yield from rows_of(body, one, source)
 
 
 class SlicedStreamReader(DataSourceStreamReader):
@@ -168,9 +199,9 @@ class SlicedStreamReader(DataSourceStreamReader):
         return {loc["name"]: end for loc in self.o.locations}
 
     def partitions(self, start: dict, end: dict):
-        return plan(self.o.locations, start or {}, end or {}, self.o.initial, self.o.hours_per_slice)
+        return self.o.plan(start or {}, end or {})
 
-    def read(self, partition: Slice) -> Iterator[tuple]:
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
         return self.o.read(partition)
 
     def commit(self, end: dict) -> None:
@@ -184,10 +215,9 @@ class SlicedBatchReader(DataSourceReader):
         self.o = _Options(options)
 
     def partitions(self):
-        locs = self.o.locations
-        return plan(locs, {}, {loc["name"]: self.o.end_offset() for loc in locs}, self.o.initial, self.o.hours_per_slice)
+        return self.o.plan({}, {loc["name"]: self.o.end_offset() for loc in self.o.locations})
 
-    def read(self, partition: Slice) -> Iterator[tuple]:
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
         return self.o.read(partition)
 
 

@@ -25,7 +25,7 @@ def _dense_top(rows, k):
 
 
 @settings(max_examples=6, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 4)), st.integers()),
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 4)), st.integers(-(2**62), 2**62)),
                 min_size=1, max_size=30), st.integers(1, 3))
 def test_top_k_ties_matches_dense_rank(spark, rows, k):
     df = spark.createDataFrame(rows, "g string, v int, id long")
