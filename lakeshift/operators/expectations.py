@@ -40,7 +40,9 @@ def expect(
         metrics += [F.count_if(~_holds(sql)).alias(f"{name}_failed") for name, sql in {**warn, **drop}.items()]
         df = df.observe(observation, *metrics)
     for sql in drop.values():
-        df = df.filter(_holds(sql))
+        # A filter keeps only TRUE rows, so NULL is already a violation; the bare
+        # predicate (no coalesce wrapper) stays pushable to the scan.
+        df = df.filter(F.expr(sql))
     return df
 
 

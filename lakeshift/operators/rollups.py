@@ -66,6 +66,7 @@ def top_k_per_group(
     ties: bool = True,
     descending: bool = True,
     tie_break: Sequence[str] = (),
+    materialize: bool = False,
 ) -> DataFrame:
     """Rows whose ``order_col`` ranks within the top ``k`` of their group.
 
@@ -86,6 +87,12 @@ def top_k_per_group(
     ``ties=False`` keeps exactly ``k`` rows per group (``row_number`` ordered by
     ``order_col`` then ``tie_break``), again with a partial group limit before
     the exchange.  NULL values sort last.
+
+    ``materialize``: the tie-aware plan reads ``df`` twice (levels and rows), and
+    column pruning makes the two reads differ, so Spark cannot reuse one for the
+    other.  When ``df`` is expensive (an aggregate over a large table), set it:
+    ``df`` is checkpointed once to the cluster's checkpoint folder and both
+    branches read the stored copy (also cutting lineage).
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by)
     value = F.col(order_col)
@@ -95,6 +102,8 @@ def top_k_per_group(
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
 
+    if materialize:
+        df = df.checkpoint(eager=True)
     lv = F.col("__level")
     levels = df.select(*keys, value.alias("__level")).distinct()
     w = Window.partitionBy(*keys).orderBy(lv.desc_nulls_last() if descending else lv.asc_nulls_last())
@@ -120,10 +129,14 @@ def top_entities(
     k: int = TOP_K,
     rank_by: str = "total_events",
     ties: bool = True,
+    materialize: bool = True,
 ) -> DataFrame:
-    """Gold top-entities table: ``entity_activity`` then the per-bucket top-K."""
+    """Gold top-entities table: ``entity_activity`` then the per-bucket top-K.
+
+    The activity aggregate is materialised once (see ``top_k_per_group``), so
+    silver is scanned and aggregated a single time."""
     activity = entity_activity(silver, entity=entity, counters=counters, unit=unit)
-    return top_k_per_group(activity, f"event_{unit}", rank_by, k=k, ties=ties)
+    return top_k_per_group(activity, f"event_{unit}", rank_by, k=k, ties=ties, materialize=materialize)
 
 
 def events_per_bucket(silver: DataFrame, unit: str = "hour", time_col: str = "event_time") -> DataFrame:
