@@ -74,11 +74,17 @@ def save_schema(spark: SparkSession, schema: T.StructType, store: str) -> None:
     spark.createDataFrame([(schema.json(),)], "v string").coalesce(1).write.mode("overwrite").text(store)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the cluster's Hadoop file system (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def load_schema(spark: SparkSession, store: str) -> T.StructType | None:
-    try:
-        row = spark.read.text(store).first()
-    except Exception:  # noqa: BLE001 - no store yet
+    if not path_exists(spark, store):
         return None
+    row = spark.read.text(store).first()
     return T.StructType.fromJson(json.loads(row[0])) if row else None
 
 
