@@ -103,6 +103,9 @@ def top_k_per_group(
         return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
 
     if materialize:
+        from lakeshift.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     lv = F.col("__level")
     levels = df.select(*keys, value.alias("__level")).distinct()

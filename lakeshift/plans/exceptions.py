@@ -40,6 +40,22 @@ class ExceptionPaths:
     valid_history: str
 
 
+def append_customer_records(
+    df: DataFrame, target: str, source_system: str = "seed", as_of: datetime | None = None
+) -> None:
+    """Append customer records to the raw append-only table (created when
+    missing): each gets a fresh ``record_id`` (uuid), ``source_system`` and
+    ``event_ts`` (``as_of`` or now).  Re-running appends the same customers again
+    with new ids and times; no tracked column changes, so no new SCD2 version."""
+    from pyspark.sql import functions as F
+
+    from lakeshift.sinks import append_batch
+
+    ts = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
+    rows = df.withColumns({"record_id": F.expr("uuid()"), "source_system": F.lit(source_system), "event_ts": ts})
+    append_batch(rows, target)
+
+
 def checked_stream(
     spark: SparkSession, raw: str, rules: Sequence[Mapping] = SSN_RULES, watermark: str = DEFAULT_WATERMARK
 ) -> DataFrame:

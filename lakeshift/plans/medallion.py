@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakeshift.operators.clean import VALID_EVENT_TYPES, silver_events
 from lakeshift.operators.rollups import REPO_COUNTERS, TOP_K, event_volume, top_entities
 from lakeshift.schemas import RAW_EVENT
-from lakeshift.sinks import append_stream
+from lakeshift.sinks import append_stream, publish_table
 from lakeshift.sources.files import read_stored, with_ingest_metadata
 from lakeshift.sources.rescue import CORRUPT, RESCUED, parse_json_with_rescue
 from lakeshift.streaming.streams import run_to_completion
@@ -65,3 +65,40 @@ def run_medallion(
     top.write.mode("overwrite").parquet(paths.gold_top)
     volume.write.mode("overwrite").parquet(paths.gold_volume)
     return dict(obs.get)
+
+
+# ---- fixed values: published table names, comments and properties -------------
+SILVER_TABLE = "silver_gh_events"
+GOLD_TOP_TABLE = "gold_top_repos"
+GOLD_VOLUME_TABLE = "gold_event_volume"
+TABLE_COMMENTS = {
+    SILVER_TABLE: "Cleaned and flattened GitHub Archive events with validated fields.",
+    GOLD_TOP_TABLE: "Top 20 repositories by total event volume per hour.",
+    GOLD_VOLUME_TABLE: "Event counts by type and hour across all GitHub Archive data.",
+}
+TABLE_QUALITY = {SILVER_TABLE: "silver", GOLD_TOP_TABLE: "gold", GOLD_VOLUME_TABLE: "gold"}
+# ----------------------------------------------------------------------------------
+
+
+def publish_medallion(
+    spark: SparkSession,
+    bronze: DataFrame,
+    valid_types: Sequence[str] = VALID_EVENT_TYPES,
+    counters=REPO_COUNTERS,
+    k: int = TOP_K,
+    database: str | None = None,
+) -> dict:
+    """Silver and golds as catalog tables with comments and properties (full
+    refresh); golds read the published silver.  Returns the expectation counters."""
+    name = (lambda t: f"{database}.{t}") if database else (lambda t: t)
+    obs = Observation("silver_expectations")
+
+    def props(t):
+        return {"quality": TABLE_QUALITY[t], "pipelines.reset.allowed": "true"}
+
+    silver = silver_events(bronze, valid_types, observation=obs)
+    publish_table(spark, silver, name(SILVER_TABLE), TABLE_COMMENTS[SILVER_TABLE], props(SILVER_TABLE))
+    top, volume = build_golds(spark.table(name(SILVER_TABLE)), k, counters)
+    publish_table(spark, top, name(GOLD_TOP_TABLE), TABLE_COMMENTS[GOLD_TOP_TABLE], props(GOLD_TOP_TABLE))
+    publish_table(spark, volume, name(GOLD_VOLUME_TABLE), TABLE_COMMENTS[GOLD_VOLUME_TABLE], props(GOLD_VOLUME_TABLE))
+    return dict(obs.get)

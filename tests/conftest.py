@@ -14,7 +14,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from lakeshift.session import local_session
 
-    s = local_session("*", 8)
+    warehouse = tempfile.mkdtemp(prefix="lakeshift-warehouse-")
+    s = local_session("*", 8, extra_conf={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
