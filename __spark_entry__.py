@@ -325,7 +325,7 @@ def q_slice_plan(spark, sf_dir):
     "explode_hourly",
     """SELECT user_id, date_trunc('hour', ts) AS time, max(value) AS temperature, '°C' AS unit,
               40.0 + CAST(user_id % 10 AS DOUBLE) AS latitude, -80.0 - CAST(user_id % 7 AS DOUBLE) AS longitude,
-              100.0 AS elevation, 0.25 AS generationtime_ms, 0 AS utc_offset_seconds,
+              CAST(100.0 AS DOUBLE) AS elevation, CAST(0.25 AS DOUBLE) AS generationtime_ms, 0 AS utc_offset_seconds,
               'GMT' AS timezone, 'GMT' AS timezone_abbreviation
        FROM events GROUP BY user_id, date_trunc('hour', ts)""",
 )
@@ -345,8 +345,8 @@ _COST_LOG_SQL = f"""
     SELECT run_id, strftime(sampled_at, '%Y-%m-%dT%H:%M:%S') AS run_timestamp, cluster_id,
            coalesce(state, 'UNKNOWN') AS cluster_state, dbu_estimate, queries_run,
            queries_run = 0 AND dbu_estimate > 0.5 AS idle
-    FROM (SELECT *, CASE WHEN state IN ('RUNNING', 'RESIZING') THEN round(2.0 + coalesce(num_workers, 0) * 1.0, 2)
-                         ELSE 0.0 END AS dbu_estimate FROM ({_SAMPLES_SQL}) s) d"""
+    FROM (SELECT *, CAST(CASE WHEN state IN ('RUNNING', 'RESIZING') THEN round(2.0 + coalesce(num_workers, 0) * 1.0, 2)
+                              ELSE 0.0 END AS DOUBLE) AS dbu_estimate FROM ({_SAMPLES_SQL}) s) d"""
 
 
 def _cost_log(spark, sf_dir):
@@ -523,7 +523,7 @@ def q_stream_valid_history(spark, sf_dir):
     """SELECT 'fixture' AS source, date_trunc('hour', ts) AS time, max(value) AS temperature, '°C' AS unit,
               'loc_' || CAST(user_id AS VARCHAR) AS location_name,
               40.0 + CAST(user_id % 10 AS DOUBLE) AS latitude, -80.0 - CAST(user_id % 7 AS DOUBLE) AS longitude,
-              100.0 AS elevation, 0.25 AS generationtime_ms, 0 AS utc_offset_seconds,
+              CAST(100.0 AS DOUBLE) AS elevation, CAST(0.25 AS DOUBLE) AS generationtime_ms, 0 AS utc_offset_seconds,
               'GMT' AS timezone, 'GMT' AS timezone_abbreviation
        FROM events GROUP BY user_id, date_trunc('hour', ts)""",
 )

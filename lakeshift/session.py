@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,7 +63,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     an executor's local disk.
     """
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/lakeshift/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
+    # Spark's writers and stream checkpoints create the folder on whatever file
+    # system the root names; nothing is created on the driver's local disk.
+    return f"{root}/lakeshift/{name}-{uuid.uuid4().hex[:12]}"
