@@ -1,7 +1,7 @@
 """Structured Streaming helpers: watermark, multi-output fan-out and the SCD2
 history sink."""
 
-from lakeshift.streaming.streams import fan_out, run_to_completion, with_event_watermark
+from lakeshift.streaming.streams import fan_out, observed_totals, run_to_completion, with_event_watermark
 from lakeshift.streaming.scd2_sink import Scd2Sink, batch_partitioned_append
 
-__all__ = ["fan_out", "run_to_completion", "with_event_watermark", "Scd2Sink", "batch_partitioned_append"]
+__all__ = ["fan_out", "observed_totals", "run_to_completion", "with_event_watermark", "Scd2Sink", "batch_partitioned_append"]

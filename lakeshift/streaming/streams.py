@@ -58,3 +58,16 @@ def run_to_completion(query: StreamingQuery) -> StreamingQuery:
     if query.exception() is not None:
         raise RuntimeError(f"stream {query.name or query.id} failed: {query.exception()}")
     return query
+
+
+def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
+    """Sum the counters a stream published with ``observe(name, ...)`` over all
+    its recorded micro-batches (e.g. expectation violations per rule)."""
+    totals: dict[str, int] = {}
+    for progress in query.recentProgress:
+        row = (progress.observedMetrics or {}).get(name)
+        if row is None:
+            continue
+        for k, v in row.asDict().items():
+            totals[k] = totals.get(k, 0) + (v or 0)
+    return totals
