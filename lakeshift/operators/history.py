@@ -27,9 +27,13 @@ version open at the chunk's start, the next change after the chunk) comes from
 a per-(key, chunk) summary with one row per chunk.  Finally a version
 aggregate (partial per task again) keeps each version's last record.
 
-The heavy-key table has at most ``rows / chunk_rows`` entries; it is counted
-first and broadcast only when that count is under ``broadcast_keys``,
-otherwise it is joined by a shuffle (AQE splits skewed partitions).
+The heavy-key table has at most ``rows / chunk_rows`` entries; it is
+checkpointed and sized first (keys and total chunks), and broadcast only when
+its size is under ``broadcast_keys``, otherwise joined by a shuffle (AQE splits
+skewed partitions).  On the chunked path the windowed rows are checkpointed
+once, because the chunk summary and the final rows both read them; the summary
+covers heavy keys only, so its row count (the total number of chunks) is known
+before it is broadcast.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeshift.session import ensure_checkpoint_dir
+
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 
@@ -103,20 +109,20 @@ def scd2(
     tracked = F.struct(*[F.col(c) for c in track]) if track else F.struct(F.lit(0))
 
     # --- heavy keys: more than chunk_rows records --------------------------------
-    heavy = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(seq).alias("__lo"), F.max(seq).alias("__hi"))
-        .filter(F.col("__n") > F.lit(chunk_rows))
-        .select(
-            *keys,
-            F.col("__lo"),
-            (
-                F.floor(_offset(seq_type, F.col("__hi"), F.col("__lo")) / F.ceil(F.col("__n") / F.lit(chunk_rows)))
-                + F.lit(1)
-            ).alias("__width"),
-        )
+    per_key = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(seq).alias("__lo"), F.max(seq).alias("__hi")
     )
-    n_heavy = heavy.count()
+    n_chunks = F.ceil(F.col("__n") / F.lit(chunk_rows))
+    heavy = per_key.filter(F.col("__n") > F.lit(chunk_rows)).select(
+        *keys,
+        F.col("__lo"),
+        (F.floor(_offset(seq_type, F.col("__hi"), F.col("__lo")) / n_chunks) + F.lit(1)).alias("__width"),
+        n_chunks.alias("__chunks"),
+    )
+    # Computed once: read by the sizing below and by the join.
+    ensure_checkpoint_dir(df.sparkSession)
+    heavy = heavy.checkpoint(eager=True)
+    n_heavy, total_chunks = heavy.agg(F.count(F.lit(1)), F.coalesce(F.sum("__chunks"), F.lit(0))).first()
 
     if n_heavy == 0:
         # Every key fits one task: plain window by key.
@@ -129,8 +135,9 @@ def scd2(
         )
     else:
         side = F.broadcast(heavy) if n_heavy <= broadcast_keys else heavy
-        chunked = recs.join(side, keys, "left").select(
+        chunked = recs.join(side.drop("__chunks"), keys, "left").select(
             *recs.columns,
+            F.col("__lo").isNotNull().alias("__heavy"),
             F.coalesce(F.floor(_offset(seq_type, F.col(seq), F.col("__lo")) / F.col("__width")), F.lit(0)).alias(
                 "__chunk"
             ),
@@ -138,8 +145,8 @@ def scd2(
         wc = Window.partitionBy(*keys, "__chunk").orderBy(seq)
         inner = chunked.select(
             "*",
-            F.row_number().over(wc).alias("__pos"),
             F.when(F.row_number().over(wc) > 1, ~tracked.eqNullSafe(F.lag(tracked).over(wc))).alias("__ichg"),
+            F.first(seq).over(wc.rowsBetween(Window.unboundedPreceding, 0)).alias("__cfirst"),
             tracked.alias("__trk"),
         )
         inner = inner.select(
@@ -147,34 +154,39 @@ def scd2(
             F.max(F.when(F.col("__ichg"), F.col(seq))).over(wc.rowsBetween(Window.unboundedPreceding, 0)).alias("__irun"),
             F.min(F.when(F.col("__ichg"), F.col(seq))).over(wc.rowsBetween(1, Window.unboundedFollowing)).alias("__inext"),
         )
-        # One row per (key, chunk); no exchange: input is already clustered by it.
-        summary = inner.groupBy(*keys, "__chunk").agg(
-            F.min(seq).alias("__first_seq"),
-            F.min_by("__trk", seq).alias("__first_trk"),
-            F.max_by("__trk", seq).alias("__last_trk"),
-            F.min(F.when(F.col("__ichg"), F.col(seq))).alias("__first_ichg"),
-            F.max(F.when(F.col("__ichg"), F.col(seq))).alias("__last_ichg"),
+        # Read twice below (chunk summary, final rows): stored once in the shared
+        # checkpoint folder, which also cuts the lineage.
+        inner = inner.checkpoint(eager=True)
+        # One row per chunk of a heavy key: at most `total_chunks` rows (known).
+        summary = (
+            inner.filter(F.col("__heavy"))
+            .groupBy(*keys, "__chunk")
+            .agg(
+                F.min(seq).alias("__first_seq"),
+                F.min_by("__trk", seq).alias("__first_trk"),
+                F.max_by("__trk", seq).alias("__last_trk"),
+                F.min(F.when(F.col("__ichg"), F.col(seq))).alias("__first_ichg"),
+                F.max(F.when(F.col("__ichg"), F.col(seq))).alias("__last_ichg"),
+            )
         )
         ws = Window.partitionBy(*keys).orderBy("__chunk")
-        summary = summary.withColumn(
-            "__bchg", ~F.col("__first_trk").eqNullSafe(F.lag("__last_trk").over(ws))
-        )
+        summary = summary.withColumn("__bchg", ~F.col("__first_trk").eqNullSafe(F.lag("__last_trk").over(ws)))
         first_change = F.when(F.col("__bchg"), F.col("__first_seq")).otherwise(F.col("__first_ichg"))
         last_change = F.coalesce(F.col("__last_ichg"), F.when(F.col("__bchg"), F.col("__first_seq")))
         summary = summary.select(
             *keys,
             "__chunk",
-            "__first_seq",
             "__bchg",
             F.max(last_change).over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("__carried"),
             F.min(first_change).over(ws.rowsBetween(1, Window.unboundedFollowing)).alias("__after"),
         )
-        joined = inner.join(summary, [*keys, "__chunk"], "inner")
+        side = F.broadcast(summary) if total_chunks <= broadcast_keys else summary
+        joined = inner.join(side, [*keys, "__chunk"], "left")
+        # A key that is not heavy is one chunk: its first record opens a version.
+        bchg = F.coalesce(F.col("__bchg"), F.lit(True))
         versioned = joined.select(
             *recs.columns,
-            F.coalesce(F.col("__irun"), F.when(F.col("__bchg"), F.col("__first_seq")), F.col("__carried")).alias(
-                "__vs"
-            ),
+            F.coalesce(F.col("__irun"), F.when(bchg, F.col("__cfirst")), F.col("__carried")).alias("__vs"),
             F.coalesce(F.col("__inext"), F.col("__after")).alias("__ve"),
         )
 
