@@ -47,9 +47,14 @@ def append_stream_to_table(
     partition_by: Sequence[str] | None = None,
     query_name: str | None = None,
     fmt: str = "parquet",
+    comment: str | None = None,
 ) -> StreamingQuery:
-    """Same as ``append_stream`` into a catalog table (created when missing)."""
-    return _stream_writer(df, checkpoint, partition_by, query_name, fmt).toTable(table)
+    """Same as ``append_stream`` into a catalog table (created when missing),
+    optionally with a table comment (a published streaming dataset)."""
+    query = _stream_writer(df, checkpoint, partition_by, query_name, fmt).toTable(table)
+    if comment:
+        df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{comment.replace(chr(39), chr(39) * 2)}'")
+    return query
 
 
 def append_batch(df: DataFrame, target: str, partition_by: Sequence[str] | None = None, fmt: str = "parquet") -> None:

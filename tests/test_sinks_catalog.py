@@ -46,6 +46,30 @@ def test_stream_between_named_tables(spark, tmp):
     stream = with_event_watermark(read_stored_stream(spark, "src_events"), "ts", "1 day")
     assert dict(stream.dtypes)["ts"] == "timestamp"
     run_to_completion(append_stream_to_table(stream, "dst_events", f"{tmp}/ck", partition_by=["event_type"],
-                                             query_name="copy_events"))
+                                             query_name="copy_events", comment="Raw source stream"))
     dst = spark.table("dst_events")
     assert dst.count() == ev.count() and dst.columns[-1] == "event_type"
+    desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED dst_events").collect()}
+    assert desc.get("Comment") == "Raw source stream"
+
+
+def test_schema_inferred_once_then_loaded(spark, tmp):
+    from lakeshift.sources.files import infer_or_load_schema
+
+    ev = fx.table(spark, SF001, "events").select("event_id", "value", "event_type")
+    ev.write.option("header", "true").csv(f"{tmp}/csv")
+    first = infer_or_load_schema(spark, [f"{tmp}/csv"], "csv", f"{tmp}/store", header="true")
+    assert [(f.name, f.dataType.simpleString()) for f in first.fields] == [
+        ("event_id", "int"), ("value", "double"), ("event_type", "string")]
+    # the stored schema wins over what a later inference would give
+    spark.createDataFrame([("x", "y", "z")], "event_id string, value string, event_type string").write.mode(
+        "overwrite").option("header", "true").csv(f"{tmp}/csv")
+    assert infer_or_load_schema(spark, [f"{tmp}/csv"], "csv", f"{tmp}/store", header="true") == first
+
+
+def test_transform_composition(spark):
+    from lakeshift.operators.rules import SSN_RULES, apply_checks, normalize_identifier
+
+    df = spark.createDataFrame([("C1", "n", "123-45-6789", 1.0)], CUSTOMER)
+    out = df.transform(normalize_identifier).transform(apply_checks, SSN_RULES)
+    assert out.first()._errors is None
