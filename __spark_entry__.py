@@ -323,15 +323,15 @@ def q_slice_plan(spark, sf_dir):
 
 @_register(
     "explode_hourly",
-    """SELECT user_id, date_trunc('hour', ts) AS time, max(value) AS temperature, '°C' AS unit,
-              40.0 + CAST(user_id % 10 AS DOUBLE) AS latitude, -80.0 - CAST(user_id % 7 AS DOUBLE) AS longitude,
+    """SELECT location_id, date_trunc('hour', ts) AS time, max(value) AS temperature, '°C' AS unit,
+              40.0 + CAST(location_id % 10 AS DOUBLE) AS latitude, -80.0 - CAST(location_id % 7 AS DOUBLE) AS longitude,
               CAST(100.0 AS DOUBLE) AS elevation, CAST(0.25 AS DOUBLE) AS generationtime_ms, 0 AS utc_offset_seconds,
               'GMT' AS timezone, 'GMT' AS timezone_abbreviation
-       FROM events GROUP BY user_id, date_trunc('hour', ts)""",
+       FROM (SELECT *, user_id % 50 AS location_id FROM events) e GROUP BY location_id, date_trunc('hour', ts)""",
 )
 def q_explode_hourly(spark, sf_dir):
     responses = fx.api_responses(fx.table(spark, sf_dir, "events"))
-    return as_naive_timestamps(explode_hourly(responses, "body", keep=("user_id",)))
+    return as_naive_timestamps(explode_hourly(responses, "body", keep=("location_id",)))
 
 
 # ---------------------------------------------------------------- cost monitor
@@ -521,11 +521,11 @@ def q_stream_valid_history(spark, sf_dir):
 @_register(
     "sliced_stream",
     """SELECT 'fixture' AS source, date_trunc('hour', ts) AS time, max(value) AS temperature, '°C' AS unit,
-              'loc_' || CAST(user_id AS VARCHAR) AS location_name,
-              40.0 + CAST(user_id % 10 AS DOUBLE) AS latitude, -80.0 - CAST(user_id % 7 AS DOUBLE) AS longitude,
+              'loc_' || CAST(location_id AS VARCHAR) AS location_name,
+              40.0 + CAST(location_id % 10 AS DOUBLE) AS latitude, -80.0 - CAST(location_id % 7 AS DOUBLE) AS longitude,
               CAST(100.0 AS DOUBLE) AS elevation, CAST(0.25 AS DOUBLE) AS generationtime_ms, 0 AS utc_offset_seconds,
               'GMT' AS timezone, 'GMT' AS timezone_abbreviation
-       FROM events GROUP BY user_id, date_trunc('hour', ts)""",
+       FROM (SELECT *, user_id % 50 AS location_id FROM events) e GROUP BY location_id, date_trunc('hour', ts)""",
 )
 def q_sliced_stream(spark, sf_dir):
     from lakeshift.plans.sliced_ingest import run_sliced_ingest
@@ -533,17 +533,16 @@ def q_sliced_stream(spark, sf_dir):
     events = fx.table(spark, sf_dir, "events")
     root = _scratch(spark, "sliced")
     fx.write_api_responses(events, f"{root}/responses")
-    # The source's plan: the location list and the covered range (one row each).
+    # The source's configuration: at most fx.LOCATIONS locations and the covered range.
     locations = [
         {"name": r["name"], "latitude": r["latitude"], "longitude": r["longitude"]}
         for r in fx.fixture_locations(events).collect()
     ]
     lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
-    span_hours = int((hi - lo).total_seconds() // 3600) + 2
     table = run_sliced_ingest(
         spark, locations, {"url": "", "source": "fixture"}, f"{root}/table", f"{root}/_ckpt",
         start=lo.isoformat(), end=(hi.replace(minute=0, second=0, microsecond=0) + timedelta(hours=1)).isoformat(),
-        hours_per_slice=max(24, span_hours // 2), fetcher="files", root=f"{root}/responses",
+        hours_per_slice=24, fetcher="files", root=f"{root}/responses",
     )
     cols = ["source", "time", "temperature", "unit", "location_name", "latitude", "longitude", "elevation",
             "generationtime_ms", "utc_offset_seconds", "timezone", "timezone_abbreviation"]

@@ -118,9 +118,16 @@ def cluster_samples(orders: DataFrame) -> DataFrame:
     )
 
 
-def location_of(user_id: str = "user_id"):
-    """Deterministic coordinates of a user treated as a location."""
-    u = F.col(user_id)
+LOCATIONS = 50  # users are grouped into this many API locations (a bounded source configuration)
+
+
+def location_id(user_id: str = "user_id"):
+    return (F.col(user_id) % LOCATIONS).alias("location_id")
+
+
+def location_of(loc: str = "location_id"):
+    """Deterministic name and coordinates of a location."""
+    u = F.col(loc)
     return (
         F.concat(F.lit("loc_"), u.cast("string")).alias("location_name"),
         (F.lit(40.0) + (u % 10).cast("double")).alias("latitude"),
@@ -129,20 +136,21 @@ def location_of(user_id: str = "user_id"):
 
 
 def hourly_readings(events: DataFrame) -> DataFrame:
-    """One reading per (user, hour): the hour's largest ``value``."""
-    return events.groupBy(
-        F.col("user_id"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")
-    ).agg(F.max("value").alias("reading"))
+    """One reading per (location, hour): the largest ``value`` of its users' events."""
+    return events.groupBy(location_id(), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
+        F.max("value").alias("reading")
+    )
 
 
 def api_responses(events: DataFrame) -> DataFrame:
-    """Per (user, day): an API-style JSON body with parallel hourly arrays.
+    """Per (location, day): an API-style JSON body with parallel hourly arrays.
 
-    Readings are aggregated per hour first, so a body holds at most 24 elements
-    whatever the number of events of a hot user-day.
+    Readings are aggregated per hour first (partial aggregation over all
+    events), so a body holds at most 24 elements however many events a hot
+    location-day has.
     """
     hourly = hourly_readings(events)
-    per_day = hourly.groupBy("user_id", F.date_trunc("day", "hour").cast("timestamp_ntz").alias("day")).agg(
+    per_day = hourly.groupBy("location_id", F.date_trunc("day", "hour").cast("timestamp_ntz").alias("day")).agg(
         F.sort_array(F.collect_list(F.struct("hour", "reading"))).alias("h")
     )
     name, lat, lon = location_of()
@@ -162,7 +170,7 @@ def api_responses(events: DataFrame) -> DataFrame:
             F.lit("GMT").alias("timezone_abbreviation"),
         )
     )
-    return per_day.select("user_id", "day", name, body.alias("body"))
+    return per_day.select("location_id", "day", name, body.alias("body"))
 
 
 def location_ranges(events: DataFrame) -> DataFrame:
@@ -242,6 +250,6 @@ def write_api_responses(events: DataFrame, folder: str) -> str:
 
 
 def fixture_locations(events: DataFrame) -> DataFrame:
-    """Distinct locations (one per user) with coordinates."""
+    """Distinct locations (at most ``LOCATIONS``) with coordinates."""
     name, lat, lon = location_of()
-    return events.select("user_id").distinct().select(F.col("user_id"), name.alias("name"), lat, lon)
+    return events.select(location_id()).distinct().select(name.alias("name"), lat, lon)
