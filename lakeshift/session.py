@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -66,3 +67,33 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     # Spark's writers and stream checkpoints create the folder on whatever file
     # system the root names; nothing is created on the driver's local disk.
     return f"{root}/lakeshift/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a job over ``input_bytes`` of input on ``cores`` executor cores.
+
+    * scan splits of ``partition_bytes`` (256 MiB);
+    * initial shuffle partitions ~ one per ``partition_bytes`` of input, at least
+      2 per core and at most 20 per core; AQE then coalesces small partitions
+      towards the same advisory size, so a stage never runs with a partition
+      far above what a task's memory share holds without heavy spilling;
+    * skew-join splitting of partitions over 2x the advisory size;
+    * broadcast only below 64 MiB of *measured* size (AQE runtime statistics).
+
+    E.g. 100 TB on 1000 executors x 8 cores -> 160,000 initial partitions.
+    Pass the result to ``spark-submit --conf`` or the session builder.
+    """
+    wanted = math.ceil(input_bytes / partition_bytes)
+    parts = max(2 * cores, min(wanted, 20 * cores))
+    size = f"{partition_bytes >> 20}m"
+    return {
+        **JOB_CONF,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{(2 * partition_bytes) >> 20}m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
