@@ -435,6 +435,24 @@ def q_medallion_gold_top(spark, sf_dir):
     return as_naive_timestamps(read_stored(spark, paths.gold_top))
 
 
+@_register("medallion_incremental_top", _top_sql("repo_name", "hour", 20, True))
+def q_medallion_incremental_top(spark, sf_dir):
+    from lakeshift.plans.medallion import MedallionPaths, run_medallion_incremental
+    from lakeshift.sources.files import read_stored
+
+    events = fx.table(spark, sf_dir, "events")
+    root = _scratch(spark, "medallion_inc")
+    paths = MedallionPaths(f"{root}/raw", f"{root}/bronze", f"{root}/_bck", f"{root}/silver", f"{root}/top", f"{root}/vol")
+    # two hourly drops; days from the 15th receive events in both
+    fx.write_event_drop(events.filter("ts < '2024-01-15' OR event_id % 2 = 0"), paths.raw, mutate=False)
+    run_medallion_incremental(spark, paths, f"{root}/_sck", fx.FIXTURE_VALID_TYPES, fx.FIXTURE_COUNTERS, 20)
+    fx.raw_event_lines(events.filter("ts >= '2024-01-15' AND event_id % 2 = 1"), mutate=False).write.mode(
+        "append"
+    ).option("maxRecordsPerFile", fx.RECORDS_PER_FILE).text(paths.raw)
+    run_medallion_incremental(spark, paths, f"{root}/_sck", fx.FIXTURE_VALID_TYPES, fx.FIXTURE_COUNTERS, 20)
+    return as_naive_timestamps(read_stored(spark, paths.gold_top).drop("event_date"))
+
+
 @_register(
     "csv_evolution",
     """SELECT c_custkey AS customer_id, c_name AS customer_name, c_acctbal AS account_balance,

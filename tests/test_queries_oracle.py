@@ -8,7 +8,7 @@ from tools.oracle_check import compare, duck
 from conftest import SF01
 
 SLOW = {"sliced_stream", "stream_open_exceptions", "stream_valid_history", "csv_evolution", "json_stream_bronze",
-        "medallion_gold_top"}
+        "medallion_gold_top", "medallion_incremental_top"}
 
 
 @pytest.fixture(scope="module")
