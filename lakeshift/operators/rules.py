@@ -112,10 +112,21 @@ def compile_rule(rule: Mapping) -> tuple[str, Column, Column]:
     return criticality, failed, result
 
 
+_RESULTS_TYPE = (
+    "array<struct<name:string,message:string,columns:array<string>,function:string,user_metadata:map<string,string>>>"
+)
+
+
 def _results(pairs: list[tuple[Column, Column]]) -> Column:
+    """Array of the failing rules' structs, NULL when none failed.
+
+    Built as a ``concat`` of one-element-or-empty arrays (no lambda function),
+    so the whole projection stays inside whole-stage code generation.
+    """
     if not pairs:
-        return F.lit(None).cast("array<struct<name:string,message:string,columns:array<string>,function:string,user_metadata:map<string,string>>>")
-    arr = F.array_compact(F.array(*[F.when(failed, res) for failed, res in pairs]))
+        return F.lit(None).cast(_RESULTS_TYPE)
+    empty = F.array().cast(_RESULTS_TYPE)
+    arr = F.concat(*[F.when(failed, F.array(res)).otherwise(empty) for failed, res in pairs])
     return F.when(F.size(arr) > 0, arr)
 
 
