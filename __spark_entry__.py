@@ -496,7 +496,8 @@ def _run_exception_flow(spark, sf_dir):
     fx.write_customer_feed(fx.table(spark, sf_dir, "customer"), f"{root}/raw")
     names = ["checkpoint", "checked", "exceptions", "exceptions_log", "exceptions_history", "valid", "valid_log", "valid_history"]
     paths = ExceptionPaths(f"{root}/raw", *[f"{root}/{n}" for n in names])
-    return run_exception_workflow(spark, paths, as_of=AS_OF, buckets=8)
+    # one micro-batch per stored file: the second load is merged into the histories incrementally
+    return run_exception_workflow(spark, paths, as_of=AS_OF, buckets=8, max_files_per_trigger=1)
 
 
 def _history_out(hist):

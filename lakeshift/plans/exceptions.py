@@ -57,9 +57,13 @@ def append_customer_records(
 
 
 def checked_stream(
-    spark: SparkSession, raw: str, rules: Sequence[Mapping] = SSN_RULES, watermark: str = DEFAULT_WATERMARK
+    spark: SparkSession,
+    raw: str,
+    rules: Sequence[Mapping] = SSN_RULES,
+    watermark: str = DEFAULT_WATERMARK,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    stream = with_event_watermark(read_stored_stream(spark, raw), "event_ts", watermark)
+    stream = with_event_watermark(read_stored_stream(spark, raw, max_files_per_trigger=max_files_per_trigger), "event_ts", watermark)
     return apply_checks(normalize_identifier(stream, "ssn", "ssn_norm"), rules)
 
 
@@ -70,8 +74,14 @@ def run_exception_workflow(
     watermark: str = DEFAULT_WATERMARK,
     as_of: datetime | None = None,
     buckets: int = 16,
+    max_files_per_trigger: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Run the stream to completion; return (exception history, valid history)."""
+    """Run the stream to completion; return (exception history, valid history).
+
+    Each micro-batch is persisted once and fed to five handlers; on a large
+    backlog cap its size with ``max_files_per_trigger`` (``availableNow`` then
+    runs several bounded batches).  More ``buckets`` make small batches cheaper
+    (the SCD2 sinks rebuild only the buckets a batch touched)."""
     exc_hist = Scd2Sink(
         paths.exceptions_log,
         paths.exceptions_history,
@@ -97,7 +107,8 @@ def run_exception_workflow(
         "exception_history": exc_hist,
         "valid_history": valid_hist,
     }
-    run_to_completion(fan_out(checked_stream(spark, paths.raw, rules, watermark), handlers, paths.checkpoint))
+    stream = checked_stream(spark, paths.raw, rules, watermark, max_files_per_trigger)
+    run_to_completion(fan_out(stream, handlers, paths.checkpoint))
     return exc_hist.read(spark), valid_hist.read(spark)
 
 

@@ -56,7 +56,7 @@ def test_exception_flow_restart_adds_nothing(spark, tmp):
     names = ["checkpoint", "checked", "exceptions", "exceptions_log", "exceptions_history", "valid", "valid_log",
              "valid_history"]
     paths = ExceptionPaths(f"{tmp}/raw", *[f"{tmp}/{n}" for n in names])
-    exc1, val1 = run_exception_workflow(spark, paths, as_of=datetime(2024, 3, 1), buckets=4)
+    exc1, val1 = run_exception_workflow(spark, paths, as_of=datetime(2024, 3, 1), buckets=4, max_files_per_trigger=1)
     c1 = (exc1.count(), val1.count(), spark.read.parquet(paths.checked).count())
     exc2, val2 = run_exception_workflow(spark, paths, as_of=datetime(2024, 3, 1), buckets=4)
     assert (exc2.count(), val2.count(), spark.read.parquet(paths.checked).count()) == c1
