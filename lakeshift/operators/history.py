@@ -27,10 +27,11 @@ version open at the chunk's start, the next change after the chunk) comes from
 a per-(key, chunk) summary with one row per chunk.  Finally a version
 aggregate (partial per task again) keeps each version's last record.
 
-The heavy-key table has at most ``rows / chunk_rows`` entries; it is
-checkpointed and sized first (keys and total chunks), and broadcast only when
-its size is under ``broadcast_keys``, otherwise joined by a shuffle (AQE splits
-skewed partitions).  On the chunked path the windowed rows are checkpointed
+The heavy-key table has at most ``rows / chunk_rows`` entries; one small
+aggregate sizes it first (keys and total chunks) — without heavy keys nothing
+else is needed — and it is stored and broadcast only when its size is under
+``broadcast_keys``, otherwise joined by a shuffle (AQE splits skewed
+partitions).  On the chunked path the windowed rows are checkpointed
 once, because the chunk summary and the final rows both read them; the summary
 covers heavy keys only, so its row count (the total number of chunks) is known
 before it is broadcast.
@@ -113,16 +114,11 @@ def scd2(
         F.count(F.lit(1)).alias("__n"), F.min(seq).alias("__lo"), F.max(seq).alias("__hi")
     )
     n_chunks = F.ceil(F.col("__n") / F.lit(chunk_rows))
-    heavy = per_key.filter(F.col("__n") > F.lit(chunk_rows)).select(
-        *keys,
-        F.col("__lo"),
-        (F.floor(_offset(seq_type, F.col("__hi"), F.col("__lo")) / n_chunks) + F.lit(1)).alias("__width"),
-        n_chunks.alias("__chunks"),
-    )
-    # Computed once: read by the sizing below and by the join.
-    ensure_checkpoint_dir(df.sparkSession)
-    heavy = heavy.checkpoint(eager=True)
-    n_heavy, total_chunks = heavy.agg(F.count(F.lit(1)), F.coalesce(F.sum("__chunks"), F.lit(0))).first()
+    is_heavy = F.col("__n") > F.lit(chunk_rows)
+    # One small job sizes the heavy-key table: its rows and its total chunks.
+    n_heavy, total_chunks = per_key.agg(
+        F.count_if(is_heavy), F.coalesce(F.sum(F.when(is_heavy, n_chunks)), F.lit(0))
+    ).first()
 
     if n_heavy == 0:
         # Every key fits one task: plain window by key.
@@ -134,8 +130,16 @@ def scd2(
             F.min(F.when(F.col("__chg"), F.col(seq))).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("__ve"),
         )
     else:
+        heavy = per_key.filter(is_heavy).select(
+            *keys,
+            F.col("__lo"),
+            (F.floor(_offset(seq_type, F.col("__hi"), F.col("__lo")) / n_chunks) + F.lit(1)).alias("__width"),
+        )
+        # Stored once: the join below reads it (broadcast or shuffled).
+        ensure_checkpoint_dir(df.sparkSession)
+        heavy = heavy.checkpoint(eager=True)
         side = F.broadcast(heavy) if n_heavy <= broadcast_keys else heavy
-        chunked = recs.join(side.drop("__chunks"), keys, "left").select(
+        chunked = recs.join(side, keys, "left").select(
             *recs.columns,
             F.col("__lo").isNotNull().alias("__heavy"),
             F.coalesce(F.floor(_offset(seq_type, F.col(seq), F.col("__lo")) / F.col("__width")), F.lit(0)).alias(

@@ -58,16 +58,15 @@ class Scd2Sink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = self.transform(batch) if self.transform else batch
-        if rows.isEmpty():
-            return
         bucket = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-        overwrite_partitions(rows.withColumns({BUCKET: bucket, BATCH: F.lit(batch_id)}), self.log, [BUCKET, BATCH])
-        log = spark.read.parquet(self.log)
-        # One row per touched bucket (at most `buckets` values reach the driver).
-        touched = [r[0] for r in log.filter(F.col(BATCH) == batch_id).select(BUCKET).distinct().collect()]
+        rows = rows.withColumns({BUCKET: bucket, BATCH: F.lit(batch_id)})
+        # One row per touched bucket (at most `buckets` values reach the driver);
+        # the batch is usually persisted by the fan-out, so this is cheap.
+        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
         if not touched:
             return
-        changes = log.filter(F.col(BUCKET).isin(touched)).drop(BATCH)
+        overwrite_partitions(rows, self.log, [BUCKET, BATCH])
+        changes = spark.read.parquet(self.log).filter(F.col(BUCKET).isin(touched)).drop(BATCH)
         hist = scd2(
             changes,
             [*self.keys, BUCKET],
