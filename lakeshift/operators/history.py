@@ -10,8 +10,8 @@ Semantics
 * ``__START_AT`` = sequence of the version's first record, ``__END_AT`` = start
   of the next version of the key, NULL while open.
 * Two records with the same (key, sequence) collapse to one, the greatest by
-  ``tie_break`` (default: the JSON text of the whole record, so the choice is
-  deterministic even when the record holds maps).  NULL sequences are rejected.
+  ``tie_break`` (default: the greatest whole record — compared as JSON text when
+  it holds a map — so the choice is deterministic).  NULL sequences are rejected.
 * The result depends only on the set of records, not on arrival order.
 
 Distribution
@@ -65,21 +65,36 @@ def _offset(seq_type: T.DataType, later: Column, earlier: Column) -> Column:
     raise TypeError(f"unsupported sequence type {seq_type.simpleString()}")
 
 
+def _orderable(dt: T.DataType) -> bool:
+    """Maps have no ordering; structs and arrays are ordered by their elements."""
+    if isinstance(dt, T.MapType):
+        return False
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    return True
+
+
 def collapse_same_sequence(
     df: DataFrame, keys: Sequence[str], sequence_by: str, tie_break: Sequence[str] | None = None
 ) -> DataFrame:
-    """One record per (key, sequence): the greatest by ``tie_break``."""
+    """One record per (key, sequence): the greatest by ``tie_break``, else the
+    greatest record (compared as a struct; as JSON text only when it holds a
+    map, which has no ordering)."""
     others = [c for c in df.columns if c not in keys and c != sequence_by]
     if not others:
         return df.select(*keys, sequence_by).distinct()
+    payload = F.struct(*[F.col(c) for c in others])
     if tie_break:
-        tie = F.struct(*[F.col(c) for c in tie_break])
+        pick = F.max_by(payload, F.struct(*[F.col(c) for c in tie_break]))
+    elif all(_orderable(df.schema[c].dataType) for c in others):
+        pick = F.max(payload)
     else:
-        tie = F.to_json(F.struct(*[F.col(c) for c in others]))
-    payload = F.struct(*[F.col(c) for c in others])
+        pick = F.max_by(payload, F.to_json(payload))
     return (
         df.groupBy(*keys, sequence_by)
-        .agg(F.max_by(payload, tie).alias("__rec"))
+        .agg(pick.alias("__rec"))
         .select(*keys, sequence_by, *[F.col("__rec")[c].alias(c) for c in others])
     )
 
