@@ -3,7 +3,6 @@ append, stream from / to named tables, watermark on timestamp_ntz, seed append."
 
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from lakeshift.plans import fixtures as fx
 from lakeshift.plans.exceptions import append_customer_records

@@ -1,6 +1,5 @@
 """Hot keys and replays: the cases a large cluster meets."""
 
-import json
 from datetime import datetime
 
 from pyspark.sql import functions as F
