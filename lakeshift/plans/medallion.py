@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,13 +69,13 @@ def run_medallion(
 
 
 # ---- fixed values: published table names, comments and properties -------------
-SILVER_TABLE = "silver_gh_events"
+SILVER_TABLE = "silver_events"
 GOLD_TOP_TABLE = "gold_top_repos"
 GOLD_VOLUME_TABLE = "gold_event_volume"
 TABLE_COMMENTS = {
-    SILVER_TABLE: "Cleaned and flattened GitHub Archive events with validated fields.",
-    GOLD_TOP_TABLE: "Top 20 repositories by total event volume per hour.",
-    GOLD_VOLUME_TABLE: "Event counts by type and hour across all GitHub Archive data.",
+    SILVER_TABLE: "Flattened events with parsed times; rows failing the drop expectations removed.",
+    GOLD_TOP_TABLE: "Per hour, the repositories whose event count ranks in the top 20 (ties kept).",
+    GOLD_VOLUME_TABLE: "Event count per hour and event type.",
 }
 TABLE_QUALITY = {SILVER_TABLE: "silver", GOLD_TOP_TABLE: "gold", GOLD_VOLUME_TABLE: "gold"}
 # ----------------------------------------------------------------------------------
@@ -140,9 +141,13 @@ def run_medallion_incremental(
     silver = silver.withColumn(EVENT_DATE, F.to_date("event_time"))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        overwrite_partitions(batch.withColumn("__batch", F.lit(batch_id)), paths.silver, [EVENT_DATE, "__batch"])
-        # Touched dates: at most one row per day of the batch reaches the driver.
-        dates = [r[0] for r in batch.select(EVENT_DATE).distinct().collect() if r[0] is not None]
+        batch.persist(StorageLevel.MEMORY_AND_DISK)  # written, then scanned for its dates
+        try:
+            overwrite_partitions(batch.withColumn("__batch", F.lit(batch_id)), paths.silver, [EVENT_DATE, "__batch"])
+            # Touched dates: at most one row per day of the batch reaches the driver.
+            dates = [r[0] for r in batch.select(EVENT_DATE).distinct().collect() if r[0] is not None]
+        finally:
+            batch.unpersist()
         if not dates:
             return
         touched = spark.read.parquet(paths.silver).filter(F.col(EVENT_DATE).isin(dates)).drop("__batch")

@@ -22,8 +22,8 @@ def test_publish_medallion_tables(spark):
     assert counters["input_rows"] == fx.table(spark, SF001, "events").count()
     props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES med.gold_top_repos").collect()}
     assert props["quality"] == "gold"
-    desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED med.silver_gh_events").collect()}
-    assert desc.get("Comment", "").startswith("Cleaned and flattened")
+    desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED med.silver_events").collect()}
+    assert desc.get("Comment", "").startswith("Flattened events")
     assert spark.table("med.gold_event_volume").count() > 0
 
 
