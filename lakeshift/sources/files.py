@@ -128,8 +128,57 @@ def infer_or_load_schema(
 
 
 # ------------------------------------------------------------------------ CSV with evolving headers
+_HEADER_CHUNK = 1 << 16
+
+
+def _first_lines(batches):
+    """mapInPandas body: open each file (pyarrow file systems) and read bytes up
+    to the first line break only.  Unknown schemes yield NULL (caller falls back)."""
+    import pandas as pd
+    from pyarrow import fs as pafs
+
+    for pdf in batches:
+        headers = []
+        for uri in pdf["file_path"]:
+            target = uri[len("file:"):] if uri.startswith("file:") and not uri.startswith("file://") else uri
+            try:
+                filesystem, path = pafs.FileSystem.from_uri(target if "://" in target else f"file://{target}")
+                buf = b""
+                with filesystem.open_input_stream(path) as fh:
+                    while b"\n" not in buf:
+                        chunk = fh.read(_HEADER_CHUNK)
+                        if not chunk:
+                            break
+                        buf += chunk
+                line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8")
+                headers.append(line.removeprefix("\ufeff"))
+            except Exception:  # noqa: BLE001 - scheme pyarrow cannot open: Spark scan fallback
+                headers.append(None)
+        yield pd.DataFrame({"file_path": pdf["file_path"], "header": headers})
+
+
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``file_path, header``: first line of each file, found by Spark.
+    """``file_path, header``: the first line of each file.
+
+    Read on the executors: the (bounded) path list is spread over tasks and each
+    file is opened and read only up to its first line break, so the cost does not
+    grow with file size.  Files on a scheme the executors' file-system library
+    cannot open are handled by ``file_headers_by_scan``.
+    """
+    paths = list(paths)
+    parts = max(1, min(len(paths), 2 * spark.sparkContext.defaultParallelism))
+    listed = spark.createDataFrame([(p,) for p in paths], "file_path string").repartition(parts)
+    found = listed.mapInPandas(_first_lines, "file_path string, header string")
+    rows = found.collect()
+    missing = [r["file_path"] for r in rows if r["header"] is None]
+    done = [(r["file_path"], r["header"]) for r in rows if r["header"] is not None]
+    if missing:
+        done += [(r["file_path"], r["header"]) for r in file_headers_by_scan(spark, missing).collect()]
+    return spark.createDataFrame(done, "file_path string, header string")
+
+
+def file_headers_by_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``file_path, header`` found by a Spark text scan (any Hadoop file system).
 
     Rows of a file's first split are read in order, so the line with the smallest
     ``monotonically_increasing_id`` of that split is the header.  One row per

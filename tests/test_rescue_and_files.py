@@ -59,3 +59,16 @@ def test_merge_schemas_widening():
     b = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("z", T.LongType())])
     m = merge_schemas(a, b)
     assert [(f.name, f.dataType) for f in m.fields] == [("x", T.DoubleType()), ("y", T.StringType()), ("z", T.LongType())]
+
+
+def test_header_readers_agree(spark, tmp):
+    from lakeshift.sources.files import file_headers, file_headers_by_scan
+
+    _write(tmp, "a.csv", ["﻿x,y", "1,2"])
+    with open(os.path.join(tmp, "b.csv"), "w", newline="") as fh:
+        fh.write("p,q,r\r\n1,2,3\r\n")
+    files = [os.path.join(tmp, "a.csv"), os.path.join(tmp, "b.csv")]
+    fast = {os.path.basename(r.file_path): r.header for r in file_headers(spark, files).collect()}
+    assert fast == {"a.csv": "x,y", "b.csv": "p,q,r"}
+    scan = {os.path.basename(r.file_path): r.header.removeprefix("﻿").rstrip("\r") for r in file_headers_by_scan(spark, files).collect()}
+    assert scan == fast
