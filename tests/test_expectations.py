@@ -39,3 +39,13 @@ def test_expectation_counts_table(spark):
 def test_expect_without_observation_filters(spark):
     df = spark.createDataFrame([(1,), (None,), (3,)], "x int")
     assert expect(df, drop={"pos": "x > 1"}).count() == 1
+
+
+def test_archive_time_formats_parse(spark):
+    from datetime import datetime
+
+    from lakeshift.functions.timecols import parse_timestamp
+
+    df = spark.createDataFrame([("2011-02-12T00:00:00Z",), ("2024-01-01T10:00:00+02:00",), ("garbage",)], "s string")
+    got = [r.t for r in df.select(parse_timestamp("s").alias("t")).collect()]
+    assert got == [datetime(2011, 2, 12), datetime(2024, 1, 1, 8), None]
