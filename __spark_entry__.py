@@ -124,7 +124,6 @@ _CHECKED_SQL = f"""
 
 
 def _scd2_sql(src: str, key: str, seq: str, track: list[str], content: list[str]) -> str:
-    trk = ", ".join(track)
     changed = " OR ".join(f"{c} IS DISTINCT FROM lag({c}) OVER w" for c in track)
     last = ", ".join(f"max_by({c}, {seq}) AS {c}" for c in content)
     cols = ", ".join(content)
@@ -135,7 +134,7 @@ def _scd2_sql(src: str, key: str, seq: str, track: list[str], content: list[str]
          v AS (SELECT {key}, grp, min({seq}) AS start_at, {last}, max({seq}) AS {seq} FROM g GROUP BY {key}, grp)
     SELECT {key}, {cols}, {seq}, start_at AS "__START_AT",
            lead(start_at) OVER (PARTITION BY {key} ORDER BY start_at) AS "__END_AT"
-    FROM v"""  # noqa: E501  (track: {trk})
+    FROM v"""
 
 
 # ---------------------------------------------------------------- event medallion
