@@ -75,11 +75,10 @@ def customers(customer: DataFrame) -> DataFrame:
     )
 
 
-def customer_changes(customer: DataFrame) -> DataFrame:
-    """Two loads of the customer feed: the first as ``customers``; in the second
-    (30 days later) every customer with ``c_custkey % 5 == 0`` corrects the SSN
-    to a valid one and every third customer gets a new balance."""
-    first = customers(customer)
+def customer_second_load(customer: DataFrame) -> DataFrame:
+    """The second load of the customer feed (30 days later): every customer with
+    ``c_custkey % 5 == 0`` corrects the SSN to a valid one and every third
+    customer gets a new balance."""
     k = F.col("c_custkey")
     made = F.concat_ws(
         "-",
@@ -87,7 +86,7 @@ def customer_changes(customer: DataFrame) -> DataFrame:
         F.lpad((1 + k % 98).cast("string"), 2, "0"),
         F.lpad((1 + k % 9998).cast("string"), 4, "0"),
     )
-    second = customer.select(
+    return customer.select(
         k.cast("string").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.when(k % 5 == 0, made).otherwise(fixture_ssn()).alias("ssn"),
@@ -98,7 +97,11 @@ def customer_changes(customer: DataFrame) -> DataFrame:
             "event_ts"
         ),
     )
-    return first.unionByName(second)
+
+
+def customer_changes(customer: DataFrame) -> DataFrame:
+    """Both loads of the customer feed: ``customers`` then ``customer_second_load``."""
+    return customers(customer).unionByName(customer_second_load(customer))
 
 
 def cluster_samples(orders: DataFrame) -> DataFrame:
@@ -229,11 +232,8 @@ def write_customer_csv_drop(customer: DataFrame, folder: str) -> str:
 
 def write_customer_feed(customer: DataFrame, folder: str) -> str:
     """The two customer loads appended one after the other (append-only table)."""
-    both = customer_changes(customer)
-    first = both.filter(F.col("record_id").startswith("r"))
-    second = both.filter(F.col("record_id").startswith("s"))
-    first.write.mode("overwrite").parquet(folder)
-    second.write.mode("append").parquet(folder)
+    customers(customer).write.mode("overwrite").parquet(folder)
+    customer_second_load(customer).write.mode("append").parquet(folder)
     return folder
 
 
