@@ -41,6 +41,9 @@ def fan_out(
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # A watermark can add a trailing no-data batch: nothing to write.
+            if batch.isEmpty():
+                return
             for handler in handlers.values():
                 handler(batch, batch_id)
         finally:
