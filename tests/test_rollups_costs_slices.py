@@ -103,3 +103,21 @@ def test_sliced_source_stream(spark, tmp):
                                start="2024-01-01T00:00:00", end="2024-01-01T02:00:00", fetcher="files",
                                root=os.path.join(tmp, "responses"))
     assert table2.count() == 2
+
+
+def test_latest_offset_is_floored_to_complete_hours():
+    from datetime import datetime, timedelta, timezone
+
+    from lakeshift.sources.sliced import SlicedStreamReader
+
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    start = (now - timedelta(hours=3)).replace(minute=0, second=0, microsecond=0)
+    reader = SlicedStreamReader({"locations": json.dumps([{"name": "A", "latitude": 1.0, "longitude": 2.0}]),
+                                 "start": start.isoformat()})
+    latest = reader.latestOffset()
+    end = datetime.fromisoformat(latest["A"])
+    assert end == end.replace(minute=0, second=0, microsecond=0) and end >= now - timedelta(hours=1)
+    parts = reader.partitions(reader.initialOffset(), latest)
+    # whole hours from start to the last complete hour; the current hour is never planned
+    assert len(parts) == int((end - start).total_seconds() // 3600) in (3, 4)
+    assert datetime.fromisoformat(parts[-1].end) == end <= datetime.now(timezone.utc).replace(tzinfo=None)
