@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -99,3 +101,29 @@ def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20)
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     }
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lakeshift`` importable in the executors' Python workers.
+
+    Code that runs on executors (the API source's reader, the CSV header reader)
+    is shipped by module reference.  When the package is not installed on the
+    workers, a zip of it is added with ``addPyFile`` (what ``--py-files`` does),
+    once per application.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="lakeshift-pyfiles-"), "lakeshift.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

@@ -165,6 +165,9 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     grow with file size.  Files on a scheme the executors' file-system library
     cannot open are handled by ``file_headers_by_scan``.
     """
+    from lakeshift.session import ship_package
+
+    ship_package(spark)  # _first_lines runs in executor Python workers
     paths = list(paths)
     parts = max(1, min(len(paths), 2 * spark.sparkContext.defaultParallelism))
     listed = spark.createDataFrame([(p,) for p in paths], "file_path string").repartition(parts)

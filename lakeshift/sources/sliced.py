@@ -237,5 +237,15 @@ class SlicedSource(DataSource):
 
 
 def register(spark) -> str:
+    """Register the source under ``sliced_api``.
+
+    The source is planned in a driver-side Python process and read in executor
+    workers; its classes are serialised by value so neither needs ``lakeshift``
+    installed."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(SlicedSource)
     return SOURCE_NAME
