@@ -571,7 +571,9 @@ def q_sliced_stream(spark, sf_dir):
     )
     cols = ["source", "time", "temperature", "unit", "location_name", "latitude", "longitude", "elevation",
             "generationtime_ms", "utc_offset_seconds", "timezone", "timezone_abbreviation"]
-    return as_naive_timestamps(table.select(*cols))
+    # API times are instants: present them as UTC wall-clock, whatever the session zone
+    utc = F.to_utc_timestamp("time", spark.conf.get("spark.sql.session.timeZone")).cast("timestamp_ntz")
+    return table.select(*cols).withColumn("time", utc)
 
 
 @_register(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,3 +40,11 @@ def as_naive_timestamps(df: DataFrame) -> DataFrame:
         for f in df.schema.fields
     ]
     return df.select(*cols)
+
+
+def timestamp_literal(ts: datetime) -> Column:
+    """A ``timestamp`` literal: a zone-aware value is that instant; a naive value
+    is a wall-clock time in the session time zone (not the Python process's)."""
+    if ts.tzinfo is not None:
+        return F.lit(ts).cast("timestamp")
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp")

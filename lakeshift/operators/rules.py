@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshift.functions.identifiers import ITIN_PATTERN, SSN_STRUCTURE, normalized_identifier
+from lakeshift.functions.timecols import timestamp_literal
 
 ERRORS = "_errors"
 WARNINGS = "_warnings"
@@ -151,7 +152,7 @@ def get_invalid(checked: DataFrame) -> DataFrame:
 def to_exceptions(invalid: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Stamp exception-queue rows: ``exception_ts`` (``as_of`` or now) and
     ``review_status = 'PENDING'``."""
-    ts = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
+    ts = timestamp_literal(as_of) if as_of is not None else F.current_timestamp()
     return invalid.withColumns({"exception_ts": ts, "review_status": F.lit(REVIEW_PENDING)})
 
 

@@ -51,7 +51,9 @@ def append_customer_records(
 
     from lakeshift.sinks import append_batch
 
-    ts = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
+    from lakeshift.functions.timecols import timestamp_literal
+
+    ts = timestamp_literal(as_of) if as_of is not None else F.current_timestamp()
     rows = df.withColumns({"record_id": F.expr("uuid()"), "source_system": F.lit(source_system), "event_ts": ts})
     append_batch(rows, target)
 

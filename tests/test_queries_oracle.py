@@ -29,3 +29,14 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("name", ["silver_events", "dq_exceptions", "cost_log", "idle_dbu_per_week", "slice_plan"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, SF01, name, E.queries()[name], E.oracle_sql().get(name), con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert r["status"] == "ok", r
