@@ -30,7 +30,6 @@ from lakeshift.operators import (
     entity_activity,
     event_expectations,
     event_volume,
-    events_per_bucket,
     expectation_counts,
     explode_hourly,
     flatten_events,
@@ -46,6 +45,7 @@ from lakeshift.operators import (
     silver_events,
     to_exceptions,
     top_entities,
+    volume_totals,
 )
 from lakeshift.plans import fixtures as fx
 
@@ -197,7 +197,8 @@ def q_top_actors_per_day_exact3(spark, sf_dir):
     f"SELECT date_trunc('hour', event_time) AS event_hour, count(*) AS event_count FROM ({_SILVER_SQL}) s GROUP BY 1",
 )
 def q_events_per_hour(spark, sf_dir):
-    return as_naive_timestamps(events_per_bucket(_silver(spark, sf_dir), "hour"))
+    # tile R1: the hourly sum of the gold event volume (A1)
+    return as_naive_timestamps(volume_totals(event_volume(_silver(spark, sf_dir)), "hour"))
 
 
 @_register(

@@ -10,6 +10,7 @@ from lakeshift.operators.rollups import (
     events_per_bucket,
     top_entities,
     top_k_per_group,
+    volume_totals,
 )
 from lakeshift.operators.rules import (
     SSN_RULES,
@@ -40,6 +41,7 @@ __all__ = [
     "events_per_bucket",
     "top_entities",
     "top_k_per_group",
+    "volume_totals",
     "SSN_RULES",
     "apply_checks",
     "get_invalid",

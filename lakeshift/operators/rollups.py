@@ -146,3 +146,10 @@ def events_per_bucket(silver: DataFrame, unit: str = "hour", time_col: str = "ev
     """Dashboard tile: all events per time bucket."""
     bucket = f"event_{unit}"
     return silver.groupBy(truncate_time(time_col, unit).alias(bucket)).agg(F.count(F.lit(1)).alias("event_count"))
+
+
+def volume_totals(volume: DataFrame, unit: str = "hour") -> DataFrame:
+    """Dashboard tile from the gold volume table: events per time bucket, summed
+    over event types (reads the small gold table, not silver)."""
+    bucket = f"event_{unit}"
+    return volume.groupBy(bucket).agg(F.sum("event_count").cast("bigint").alias("event_count"))
