@@ -121,3 +121,19 @@ def test_latest_offset_is_floored_to_complete_hours():
     # whole hours from start to the last complete hour; the current hour is never planned
     assert len(parts) == int((end - start).total_seconds() // 3600) in (3, 4)
     assert datetime.fromisoformat(parts[-1].end) == end <= datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def test_api_rows_use_the_response_offset_and_slice_bounds():
+    from datetime import datetime, timezone
+
+    from lakeshift.sources.sliced import Slice, rows_of
+
+    body = {"hourly": {"time": ["2024-01-01T09:00", "2024-01-01T10:00", "2024-01-01T11:00"],
+                       "temperature_2m": [1.0, 2.0]},
+            "hourly_units": {"temperature_2m": "C"}, "utc_offset_seconds": -18000, "timezone": "America/New_York"}
+    part = Slice("A", 1.0, 2.0, "2024-01-01T10:00:00", "2024-01-01T12:00:00")
+    rows = list(rows_of(body, part, "src"))
+    # 09:00 is outside the slice; 11:00 has no value (shorter array -> NULL); local -05:00 -> UTC +5h
+    assert [(r[1], r[2]) for r in rows] == [(datetime(2024, 1, 1, 15, tzinfo=timezone.utc), 2.0),
+                                          (datetime(2024, 1, 1, 16, tzinfo=timezone.utc), None)]
+    assert rows[0][0] == "src" and rows[0][4] == "A" and rows[0][10] == "America/New_York"
