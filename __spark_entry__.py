@@ -8,6 +8,7 @@ library's operators over the whole tables.  Timestamps leave as
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -591,6 +592,26 @@ def q_cost_monitor_alerts(spark, sf_dir):
     return run_cost_monitor(spark, fx.cluster_samples(fx.table(spark, sf_dir, "orders")), f"{root}/cost_log")
 
 
+# ---------------------------------------------------------------- training-data operators
+def _register_llm() -> None:
+    """Add the queries of the llm subpackage and the pipeline, where these are present."""
+    if importlib.util.find_spec("lakeshift.llm") is None:
+        return
+    from lakeshift.llm import registry
+
+    _QUERIES.update(registry.queries())
+    _ORACLE.update(registry.oracle_sql())
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        _QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(spark, sf_dir)
+        if corpus_pipeline.ORACLE_SQL is not None:
+            _ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+_register_llm()
+
+
 # ---------------------------------------------------------------- contract
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: hourly top repositories (silver -> roll-up -> tie-aware top-K)."""
