@@ -6,13 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshift.llm import chat_format, digest_dedup, extendible_sharding, source_mixing
+from lakeshift.llm import (
+    chat_format,
+    digest_dedup,
+    extendible_sharding,
+    order_minhash,
+    overlap_tokens,
+    quality_bayes,
+    source_mixing,
+    spaced_decontam,
+)
 from lakeshift.llm.common import table
 
 #: Bytes of text in a shard at most.
 SHARD_BYTES = 16 << 20
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_overlap_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_tokens.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -30,8 +47,25 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_digests(chat_format.with_test_conversation(turns))
 
 
+def op9_spaced_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_bayes.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), *quality_bayes.source_site())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op5_exact_dedup, op6_source_mixing, op7_extendible_sharding, op8_chat_format]
+    found = [
+        op3_order_minhash,
+        op4_overlap_tokens,
+        op5_exact_dedup,
+        op6_source_mixing,
+        op7_extendible_sharding,
+        op8_chat_format,
+        op9_spaced_decontam,
+        op10_quality_bayes,
+    ]
     return {f.__name__: f for f in found}
 
 
