@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeshift.llm import (
+    brown_lm,
     chat_format,
     digest_dedup,
     extendible_sharding,
@@ -22,6 +23,10 @@ from lakeshift.llm.common import table
 SHARD_BYTES = 16 << 20
 
 
+def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ def op10_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        op1_brown_lm,
         op3_order_minhash,
         op4_overlap_tokens,
         op5_exact_dedup,
