@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeshift.llm import (
     brown_lm,
     chat_format,
+    crf_pii,
     digest_dedup,
     extendible_sharding,
     order_minhash,
@@ -27,6 +28,10 @@ def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_lm.lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op2_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ def op10_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_brown_lm,
+        op2_crf_pii,
         op3_order_minhash,
         op4_overlap_tokens,
         op5_exact_dedup,

@@ -78,10 +78,10 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     )
 
 
-def mix_rows(docs: DataFrame) -> DataFrame:
+def mix_rows(docs: DataFrame, *also: str) -> DataFrame:
     """Slim rows (doc_id, source, size, key): the only pass over the texts."""
     return docs.select(
-        F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"), mix_key().alias("key")
+        F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"), mix_key().alias("key"), *also
     )
 
 
@@ -131,29 +131,14 @@ def mixed(docs: DataFrame, **shares) -> DataFrame:
 def mixture(docs: DataFrame, **shares) -> DataFrame:
     """The mix itself: every document as often as it is taken, columns as in ``docs``.
 
-    The number of copies is joined by (doc_id, source, size); among rows that
-    agree in all three the copies are added up and spread again, so each group
-    is taken as often as planned.
+    The documents are stored once with their positions, by which the copies
+    that are planned for a row find it again.
     """
-    columns = docs.columns
-    rows = stored(mix_rows(docs), "mix-rows")
-    ident = ["doc_id", "source", "size"]
-    plan = stored(
-        mixed_sizes(rows, **shares).groupBy(*ident).agg(F.sum("copies").alias("copies"), F.count("*").alias("alike")),
-        "mix-plan",
-    )
-    whole = docs.select(packed(docs), F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"))
-    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"p.{c}")) for c in ident]
-    joined = whole.alias("w").join(plan.filter("copies > 0").alias("p"), same[0] & same[1] & same[2])
-    nth = F.when(F.col("p.alike") == 1, F.lit(1)).otherwise(
-        F.row_number().over(Window.partitionBy("w.doc_id", "w.source", "w.size").orderBy("w.doc.text"))
-    )
-    share = F.floor(F.col("copies") / F.col("alike")) + (F.col("nth") <= F.col("copies") % F.col("alike")).cast("long")
-    return unpacked(
-        joined.withColumn("nth", nth).withColumn("times", share.cast("int")).filter("times > 0")
-        .withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("times")))),
-        columns,
-    )
+    whole = stored(docs.select(packed(docs), F.monotonically_increasing_id().alias("row_id")), "mix-docs")
+    slim = mix_rows(whole.select("doc.doc_id", "doc.source", "doc.text", "row_id"), "row_id")
+    plan = mixed_sizes(stored(slim, "mix-rows"), **shares).filter("copies > 0").select("row_id", "copies")
+    taken = whole.join(stored(plan, "mix-plan"), "row_id")
+    return unpacked(taken.withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))), docs.columns)
 
 
 ORACLE = rf"""
