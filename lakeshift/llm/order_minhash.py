@@ -14,11 +14,13 @@ labelled shingles within the band that a similarity of 0.8 leaves, divided by
 the shingles of either; 0.8 or more is a link.
 
 No group is compared all with all.  Equal word sequences are one
-representative first.  Each bucket then compares its members with one hub of
-its own; where this leaves a bucket with several classes, members of different
+representative first.  Each bucket then compares its members with one hub (the
+member first in one order of all texts, so the buckets of a group share hubs);
+where this leaves a bucket with several classes, members of different
 classes are compared if a bound allows it: a text cannot be linked beyond the
-share of its shingles that any other open text holds (exact), and a linked pair
-agrees in at least ``FEWEST`` values (missed with a probability below 0.001).
+share of its shingles that any other open text holds (exact).  A linked pair
+agrees in at least ``FEWEST`` values but with a probability below 0.001, and
+pairs are sorted out by that before their texts are fetched.
 
 Words are split at white space and compared in lower case (A-Z).  Defined
 cases: a null text counts as empty; all texts without words are one class; a
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshift.llm import textnum
@@ -50,7 +52,7 @@ SKETCHES = 40
 #: (shingles sampled, fewest and most shingles of a text): similar texts differ in length by a quarter at most.
 KINDS = ((2, 1, 60), (6, 40, 2**62))
 #: Values in which two linked texts agree at least, for each kind.
-FEWEST = (12, 2)
+FEWEST = (14, 3)
 #: Rows to drop up to this many (8 bytes each) are broadcast, else shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -146,6 +148,23 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
+def _agreements(x: str, y: str) -> list[Column]:
+    """For each kind, which sketch values of the columns ``kind{k}{x}`` and ``kind{k}{y}`` are equal (null: not of this kind)."""
+    return [F.zip_with(f"kind{k}{x}", f"kind{k}{y}", lambda p, q: p == q) for k in range(len(KINDS))]
+
+
+def _enough(agree: list[Column]) -> Column:
+    """Whether two texts agree in as many values as linked ones do."""
+    counts = [F.size(F.filter(agree[k], lambda e: e)) >= FEWEST[k] for k in range(len(KINDS))]
+    return F.coalesce(counts[0], F.lit(False)) | F.coalesce(counts[1], F.lit(False))
+
+
+def promising(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """The pairs (a, b) that agree in enough sketch values; compares sketches, which are much smaller than texts."""
+    of = lambda c: sketched.select(F.col("doc_row").alias(c), *[F.col(f"kind{k}").alias(f"kind{k}_{c}") for k in range(len(KINDS))])
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter(_enough(_agreements("_a", "_b"))).select("a", "b")
+
+
 def verified(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     """The pairs (a, b) whose alignment reaches the similarity."""
     of = lambda who, what: sketched.select(F.col("doc_row").alias(who), F.col("shingles").alias(what))
@@ -167,10 +186,9 @@ def _open_pairs(members: DataFrame, comps: DataFrame, sketched: DataFrame) -> Da
     rows = open_.join(fit, "rep")
     side = lambda s: rows.select(*[F.col(c).alias(f"{c}_{s}") for c in ("value", "rep", "comp", "n", "held", "kind0", "kind1")])
     common = F.least("held_x", "held_y")
-    agree = [F.zip_with(f"kind{k}_x", f"kind{k}_y", lambda p, q: p == q) for k in range(len(KINDS))]
-    enough = [
-        (F.array_position(F.col(f"kind{k}_x"), F.col("value_x")) == F.array_position(agree[k], F.lit(True)))
-        & (F.size(F.filter(agree[k], lambda e: e)) >= FEWEST[k])
+    agree = _agreements("_x", "_y")
+    first = [
+        F.coalesce(F.array_position(f"kind{k}_x", F.col("value_x")) == F.array_position(agree[k], F.lit(True)), F.lit(False))
         for k in range(len(KINDS))
     ]
     # A pair is taken in the first bucket that it shares.
@@ -182,7 +200,8 @@ def _open_pairs(members: DataFrame, comps: DataFrame, sketched: DataFrame) -> Da
             & (F.col("rep_x") < F.col("rep_y"))
             & (F.col("comp_x") != F.col("comp_y"))
             & (common >= SIMILARITY * (F.col("n_x") + F.col("n_y") - common))
-            & (F.coalesce(enough[0], F.lit(False)) | F.coalesce(enough[1], F.lit(False))),
+            & (first[0] | first[1])
+            & _enough(agree),
         )
         .select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b"))
         .distinct()
@@ -202,13 +221,13 @@ def classes(docs: DataFrame) -> DataFrame:
     )
     hubs = (
         values.groupBy("value")
-        .agg(F.max(F.struct(F.xxhash64("rep", "value").alias("h"), "rep")).alias("hub"), F.count("*").alias("members"))
+        .agg(F.max(F.struct(F.xxhash64("rep").alias("h"), "rep")).alias("hub"), F.count("*").alias("members"))
         .filter("members > 1")
         .select("value", F.col("hub.rep").alias("hub"))
     )
     members = stored(values.join(hubs, "value"), "bucket-members")
     star = members.filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    links = stored(verified(star, sketched), "star-links")
+    links = stored(verified(promising(star, sketched), sketched), "star-links")
     comps = components(links)
     more = stored(verified(_open_pairs(members, comps, sketched), sketched), "open-links")
     if more.limit(1).count():
