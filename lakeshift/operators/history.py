@@ -119,6 +119,7 @@ def scd2(
     if missing:
         raise ValueError(f"tracked columns not in input: {missing}")
     seq_type = df.schema[seq].dataType
+    _offset(seq_type, F.lit(None), F.lit(None))  # the type is refused here, not only where a key is heavy
 
     rows = df.filter(F.col(seq).isNotNull())
     recs = collapse_same_sequence(rows, keys, seq, tie_break)

@@ -74,8 +74,8 @@ def _not_null(args: Mapping[str, str]) -> tuple[Column, str, list[str]]:
 
 
 def _sql_expression(args: Mapping[str, str]) -> tuple[Column, str, list[str]]:
-    expr = " ".join(args["expression"].split())
-    msg = args.get("msg") or f"Value is not matching expression: {expr}"
+    expr = args["expression"]
+    msg = args.get("msg") or f"Value is not matching expression: {' '.join(expr.split())}"
     # FALSE fails; NULL passes (NOT NULL is NULL, coalesced to "no failure").
     return F.coalesce(~F.expr(expr), F.lit(False)), msg, list(args.get("columns", []))
 

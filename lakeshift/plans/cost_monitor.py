@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeshift.functions.costs import IDLE_DBU_THRESHOLD
 from lakeshift.operators.costs import cost_log, idle_alerts
@@ -17,5 +18,6 @@ def run_cost_monitor(
     of this run (read back from the written log, so they are what was stored)."""
     rows = cost_log(samples, threshold)
     append_batch(rows, log_path)
-    run_ids = samples.select("run_id").distinct()
-    return idle_alerts(read_stored(spark, log_path).join(run_ids, "run_id", "left_semi"))
+    run_ids = samples.select(F.col("run_id").alias("this_run")).distinct()
+    log = read_stored(spark, log_path)
+    return idle_alerts(log.join(run_ids, F.col("run_id").eqNullSafe(F.col("this_run")), "left_semi"))

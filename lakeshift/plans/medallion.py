@@ -103,7 +103,7 @@ def publish_medallion(
     obs = Observation("silver_expectations")
 
     def props(t):
-        return {"quality": TABLE_QUALITY[t], "pipelines.reset.allowed": "true"}
+        return {"quality": TABLE_QUALITY[t]}
 
     silver = silver_events(bronze, valid_types, observation=obs)
     publish_table(spark, silver, name(SILVER_TABLE), TABLE_COMMENTS[SILVER_TABLE], props(SILVER_TABLE))

@@ -107,7 +107,12 @@ def http_fetch(endpoint: dict, part: Slice, max_retries: int, backoff: float, ti
 
 
 def file_fetch(root: str, part: Slice) -> list[dict]:
-    folder = os.path.join(root.removeprefix("file:"), f"location_name={part.name}")
+    if "://" in root.removeprefix("file://"):
+        raise ValueError(f"the files fetcher reads shared POSIX folders, not {root}")
+    folder = os.path.join(root.removeprefix("file://").removeprefix("file:"), f"location_name={part.name}")
+    if not os.path.isdir(folder):
+        # An empty answer would commit the offset and lose the slice for good.
+        raise FileNotFoundError(f"no folder of responses for location {part.name}: {folder}")
     bodies = []
     for path in sorted(glob.glob(os.path.join(folder, "*"))):
         if os.path.basename(path).startswith((".", "_")):

@@ -101,3 +101,9 @@ def test_result_struct_and_exceptions(checked):
 def test_unknown_check_function_rejected(spark):
     with pytest.raises(ValueError):
         apply_checks(spark.range(1), [{"name": "x", "check": {"function": "nope", "arguments": {}}}])
+
+
+def test_rule_text_reaches_spark_as_written(spark):
+    rule = {"name": "r", "criticality": "error", "check": {"function": "sql_expression", "arguments": {"expression": "x = 'a  b' -- two blanks\n OR x IS NULL"}}}
+    df = spark.createDataFrame([("a  b",), ("a b",), (None,)], "x string")
+    assert [r.x for r in get_valid(apply_checks(df, [rule])).collect()] == ["a  b", None]
