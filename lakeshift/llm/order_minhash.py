@@ -55,6 +55,8 @@ KINDS = ((2, 1, 60), (6, 40, 2**62))
 FEWEST = (14, 3)
 #: Rows to drop up to this many (8 bytes each) are broadcast, else shuffled.
 BROADCAST_ROWS = 500_000
+#: Bitmaps of row positions up to this many (4 KiB each) are broadcast.
+BROADCAST_BITMAPS = 16_384
 
 _MULTIPLIERS = np.random.default_rng(20_011).integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OCCURRENCE = np.uint64(0x9E3779B97F4A7C15)
@@ -159,14 +161,39 @@ def _enough(agree: list[Column]) -> Column:
     return F.coalesce(counts[0], F.lit(False)) | F.coalesce(counts[1], F.lit(False))
 
 
+def among(sketched: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``sketched`` whose position is the one column of ``rows``, sorted out before any shuffle.
+
+    Positions are dense within a scan partition, so one 4 KiB bitmap stands for
+    up to 32,768 of them, exactly.  Beyond ``BROADCAST_BITMAPS`` (about
+    5e8 documents) all of ``sketched`` is returned; the joins that follow are the same.
+    """
+    row = F.col(rows.columns[0])
+    bitmaps = stored(
+        rows.groupBy(F.bitmap_bucket_number(row).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(row)).alias("bits")),
+        "bitmaps",
+    )
+    if bitmaps.count() > BROADCAST_BITMAPS:
+        return sketched
+    byte = F.expr("conv(hex(substring(bits, cast(bitmap_bit_position(doc_row) div 8 as int) + 1, 1)), 16, 10)").cast("int")
+    bit = F.call_function("shiftright", byte, F.expr("cast(bitmap_bit_position(doc_row) % 8 as int)")).bitwiseAND(F.lit(1)) == 1
+    return sketched.join(F.broadcast(bitmaps), F.bitmap_bucket_number("doc_row") == F.col("bucket")).filter(bit).select(sketched.columns)
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("row"))
+
+
 def promising(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     """The pairs (a, b) that agree in enough sketch values; compares sketches, which are much smaller than texts."""
+    sketched = among(sketched, _ends(pairs))
     of = lambda c: sketched.select(F.col("doc_row").alias(c), *[F.col(f"kind{k}").alias(f"kind{k}_{c}") for k in range(len(KINDS))])
     return pairs.join(of("a"), "a").join(of("b"), "b").filter(_enough(_agreements("_a", "_b"))).select("a", "b")
 
 
 def verified(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     """The pairs (a, b) whose alignment reaches the similarity."""
+    sketched = among(sketched, _ends(pairs))
     of = lambda who, what: sketched.select(F.col("doc_row").alias(who), F.col("shingles").alias(what))
     return pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").mapInArrow(_linked, "a long, b long")
 
@@ -176,7 +203,8 @@ def _open_pairs(members: DataFrame, comps: DataFrame, sketched: DataFrame) -> Da
     own = members.join(comps, F.col("rep") == F.col("node"), "left").select("value", "rep", F.coalesce("comp", "rep").alias("comp"))
     several = own.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("value")
     open_ = stored(own.join(several, "value", "left_semi"), "open-members")
-    texts = sketched.select(F.col("doc_row").alias("rep"), "n", "kind0", "kind1", "shingles").join(open_.select("rep").distinct(), "rep", "left_semi")
+    texts = among(sketched, open_.select("rep")).select(F.col("doc_row").alias("rep"), "n", "kind0", "kind1", "shingles")
+    texts = texts.join(open_.select("rep").distinct(), "rep", "left_semi")
     each = texts.select("rep", F.explode("shingles").alias("shingle"))
     again = each.groupBy("shingle").agg(F.count("*").alias("c")).filter("c > 1").select("shingle")
     held = each.join(again, "shingle", "left_semi").groupBy("rep").agg(F.count("*").alias("held"))
@@ -227,9 +255,11 @@ def classes(docs: DataFrame) -> DataFrame:
     )
     members = stored(values.join(hubs, "value"), "bucket-members")
     star = members.filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    links = stored(verified(promising(star, sketched), sketched), "star-links")
+    star = stored(promising(stored(star, "star-pairs"), sketched), "promising-pairs")
+    links = stored(verified(star, sketched), "star-links")
     comps = components(links)
-    more = stored(verified(_open_pairs(members, comps, sketched), sketched), "open-links")
+    open_pairs = stored(_open_pairs(members, comps, sketched), "open-pairs")
+    more = stored(verified(open_pairs, sketched), "open-links")
     if more.limit(1).count():
         # Whole classes are joined now: the nodes are the classes so far.
         as_class = lambda c: F.coalesce(F.col(f"{c}_comp"), F.col(c))
