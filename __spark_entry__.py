@@ -405,14 +405,21 @@ def _scratch(spark, name):
 
 @_register(
     "json_stream_bronze",
-    """SELECT CAST(event_id AS VARCHAR) AS id, event_type, 'user_' || CAST(user_id AS VARCHAR) AS actor_login,
-              user_id AS actor_id, 'repo_' || CAST(user_id % 40 AS VARCHAR) AS repo_name, ts AS event_time,
-              CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'org_' || CAST(user_id % 5 AS VARCHAR) END AS org_login,
-              CASE WHEN event_id % 77 = 0 THEN NULL ELSE event_id % 2 = 0 END AS public,
-              NULLIF(concat_ws(',', CASE WHEN event_id % 50 = 0 THEN 'extra_field' END,
-                                    CASE WHEN event_id % 77 = 0 THEN 'public' END), '') AS rescued_keys,
+    """WITH e AS (SELECT *, coalesce(event_id % 83 = 0, false) AS cut FROM events)
+       SELECT CASE WHEN NOT cut THEN CAST(event_id AS VARCHAR) END AS id, CASE WHEN NOT cut THEN event_type END AS event_type,
+              CASE WHEN NOT cut THEN 'user_' || CAST(user_id AS VARCHAR) END AS actor_login,
+              CASE WHEN NOT cut THEN user_id END AS actor_id,
+              CASE WHEN NOT cut THEN 'repo_' || CAST(user_id % 40 AS VARCHAR) END AS repo_name,
+              CASE WHEN cut OR event_id % 59 = 0 THEN NULL ELSE user_id % 40 END AS repo_id,
+              CASE WHEN NOT cut THEN ts END AS event_time,
+              CASE WHEN cut OR event_id % 3 = 0 THEN NULL ELSE 'org_' || CAST(user_id % 5 AS VARCHAR) END AS org_login,
+              CASE WHEN cut OR event_id % 77 = 0 THEN NULL ELSE event_id % 2 = 0 END AS public,
+              CASE WHEN NOT cut THEN NULLIF(concat_ws(',', CASE WHEN event_id % 50 = 0 THEN 'extra_field' END,
+                                    CASE WHEN event_id % 77 = 0 THEN 'public' END,
+                                    CASE WHEN event_id % 59 = 0 THEN 'repo' END), '') END AS rescued_keys,
+              CASE WHEN cut THEN 'cut ' || CAST(event_id AS VARCHAR) END AS corrupt_record,
               true AS has_source_file
-       FROM events""",
+       FROM e""",
 )
 def q_json_stream_bronze(spark, sf_dir):
     from lakeshift.plans.medallion import ingest_bronze
@@ -421,12 +428,12 @@ def q_json_stream_bronze(spark, sf_dir):
     root = _scratch(spark, "json_bronze")
     fx.write_event_drop(fx.table(spark, sf_dir, "events"), f"{root}/raw", mutate=True)
     ingest_bronze(spark, f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint")
-    flat = flatten_events(read_stored(spark, f"{root}/bronze"), carry=("_rescued_data",))
+    flat = flatten_events(read_stored(spark, f"{root}/bronze"), carry=("_rescued_data", "_corrupt_record"))
     keys = F.array_join(F.array_sort(F.map_keys(F.from_json("_rescued_data", "map<string,string>"))), ",")
     return as_naive_timestamps(
         flat.select(
-            "id", "event_type", "actor_login", "actor_id", "repo_name", "event_time", "org_login", "public",
-            keys.alias("rescued_keys"), F.col("_source_file").isNotNull().alias("has_source_file"),
+            "id", "event_type", "actor_login", "actor_id", "repo_name", "repo_id", "event_time", "org_login", "public",
+            keys.alias("rescued_keys"), F.col("_corrupt_record").alias("corrupt_record"), F.col("_source_file").isNotNull().alias("has_source_file"),
         )
     )
 

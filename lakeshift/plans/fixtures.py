@@ -189,13 +189,16 @@ RECORDS_PER_FILE = 2500
 
 def raw_event_lines(events: DataFrame, mutate: bool = True) -> DataFrame:
     """JSON lines of raw events.  With ``mutate``: every 50th event carries an
-    unknown ``extra_field`` and every 77th a mistyped ``public`` ("yes")."""
+    unknown ``extra_field``, every 77th a mistyped ``public`` ("yes"), every 59th
+    a mistyped ``repo.id`` ("none"), and every 83rd is cut off (a corrupt line)."""
     line = F.to_json(F.struct(*[F.col(c) for c in raw_events(events).columns]))
     df = raw_events(events).select(F.col("id").cast("bigint").alias("__eid"), line.alias("value"))
     if mutate:
         eid, v = F.col("__eid"), F.col("value")
         v = F.when(eid % 77 == 0, F.regexp_replace(v, '"public":(true|false)', '"public":"yes"')).otherwise(v)
+        v = F.when(eid % 59 == 0, F.regexp_replace(v, '("repo":.*?"id":)[0-9]+', '$1"none"')).otherwise(v)
         v = F.when(eid % 50 == 0, F.concat(F.substring(v, 1, F.length(v) - 1), F.lit(',"extra_field":123}'))).otherwise(v)
+        v = F.when(eid % 83 == 0, F.concat(F.lit("cut "), eid.cast("string"))).otherwise(v)
         df = df.select(v.alias("value"))
     return df.select("value")
 

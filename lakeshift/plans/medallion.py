@@ -13,8 +13,7 @@ from lakeshift.operators.clean import VALID_EVENT_TYPES, silver_events
 from lakeshift.operators.rollups import REPO_COUNTERS, TOP_K, event_volume, top_entities
 from lakeshift.schemas import RAW_EVENT
 from lakeshift.sinks import append_stream, publish_table
-from lakeshift.sources.files import read_stored, with_ingest_metadata
-from lakeshift.sources.rescue import CORRUPT, RESCUED, parse_json_with_rescue
+from lakeshift.sources.files import read_json_stream, read_stored
 from lakeshift.streaming.streams import run_to_completion
 
 
@@ -31,20 +30,12 @@ class MedallionPaths:
     gold_volume: str
 
 
-def ingest_bronze(spark: SparkSession, raw: str, bronze: str, checkpoint: str, max_files_per_trigger=None) -> None:
-    """Raw JSON-lines directory -> bronze parquet (append, exactly-once)."""
-    run_to_completion(append_stream(_bronze_stream(spark, raw, max_files_per_trigger), bronze, checkpoint))
-
-
-def _bronze_stream(spark: SparkSession, raw: str, max_files_per_trigger=None) -> DataFrame:
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.load(raw)
-    typed, rescued, corrupt = parse_json_with_rescue(F.col("value"), RAW_EVENT)
-    return with_ingest_metadata(lines).select(
-        typed.alias("__p"), rescued.alias(RESCUED), corrupt.alias(CORRUPT), "_ingested_at", "_source_file"
-    ).select("__p.*", RESCUED, CORRUPT, "_ingested_at", "_source_file")
+def ingest_bronze(
+    spark: SparkSession, raw: str, bronze: str, checkpoint: str, max_files_per_trigger=None, schema=RAW_EVENT
+) -> None:
+    """Raw JSON-lines directory of any ``schema`` -> bronze parquet (append, exactly-once)."""
+    lines = read_json_stream(spark, raw, schema, max_files_per_trigger=max_files_per_trigger)
+    run_to_completion(append_stream(lines, bronze, checkpoint))
 
 
 def build_golds(silver: DataFrame, k: int = TOP_K, counters=REPO_COUNTERS) -> tuple[DataFrame, DataFrame]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshift.sources.rescue import CORRUPT, RESCUED, parse_json_with_rescue
+from lakeshift.sources.rescue import parse_json_with_rescue
 
 INGESTED_AT = "_ingested_at"
 SOURCE_FILE = "_source_file"
@@ -31,14 +31,11 @@ def with_ingest_metadata(df: DataFrame, ingested_at: Column | None = None) -> Da
 
 # ------------------------------------------------------------------------ JSON lines
 def _json_lines(text_df: DataFrame, schema: T.StructType, rescue: bool, metadata: bool) -> DataFrame:
-    extra = [F.col("_metadata.file_path").alias(SOURCE_FILE)] if metadata else []
-    carried = [SOURCE_FILE] if metadata else []
+    carried = (INGESTED_AT, SOURCE_FILE) if metadata else ()
+    lines = with_ingest_metadata(text_df) if metadata else text_df
     if not rescue:
-        parsed = text_df.select(F.from_json("value", schema).alias("__p"), *extra)
-        return parsed.select("__p.*", *carried)
-    typed, rescued, corrupt = parse_json_with_rescue(F.col("value"), schema)
-    parsed = text_df.select(typed.alias("__p"), rescued.alias(RESCUED), corrupt.alias(CORRUPT), *extra)
-    return parsed.select("__p.*", RESCUED, CORRUPT, *carried)
+        return lines.select(F.from_json("value", schema).alias("__p"), *carried).select("__p.*", *carried)
+    return parse_json_with_rescue(lines, schema, carried)
 
 
 def read_json(
@@ -47,7 +44,7 @@ def read_json(
     """Batch read of JSON-lines files with a fixed schema (+ rescue column).
 
     Read as text so that every line is parsed by ``from_json`` (splittable, one
-    pass, no inference job); ``metadata`` adds ``_source_file``.
+    pass, no inference job); ``metadata`` adds ``_ingested_at`` and ``_source_file``.
     """
     paths = [path] if isinstance(path, str) else list(path)
     return _json_lines(spark.read.text(paths), schema, rescue, metadata)

@@ -38,6 +38,39 @@ def test_rescue_semantics(spark, tmp):
     assert len(bad) == 1 and bad[0].id is None
 
 
+def test_rescue_reaches_every_level_and_arrays(spark, tmp):
+    inner = T.StructType([T.StructField("n", T.LongType())])
+    schema = T.StructType(
+        [
+            T.StructField("id", T.StringType()),
+            T.StructField("a", T.StructType([T.StructField("b", T.StructType([T.StructField("c", inner)]))])),
+            T.StructField("xs", T.ArrayType(T.LongType())),
+            T.StructField("ys", T.ArrayType(inner)),
+        ]
+    )
+    cases = {
+        "clean": {"a": {"b": {"c": {"n": 1}}}, "xs": [1, None, 2], "ys": [{"n": 1}, {"n": None}, None]},
+        "deep mistype": {"a": {"b": {"c": {"n": "x"}}}},
+        "deep unknown": {"a": {"b": {"c": {"n": 1}, "new": 2}}},
+        "struct as text": {"a": {"b": "text"}},
+        "array element": {"xs": [1, "x"]},
+        "struct in array": {"ys": [{"n": 1}, {"n": 1, "new": 2}]},
+        "nulls": {"a": None, "xs": None, "ys": None},
+    }
+    _write(tmp, "a.json", [json.dumps({"id": k, **v}) for k, v in cases.items()])
+    got = {r.id: r._rescued_data and sorted(json.loads(r._rescued_data)) for r in read_json(spark, tmp, schema).collect()}
+    assert got == {
+        "clean": None, "deep mistype": ["a"], "deep unknown": ["a"], "struct as text": ["a"],
+        "array element": ["xs"], "struct in array": ["ys"], "nulls": None,
+    }
+
+
+def test_rescue_parses_a_line_twice_and_a_struct_once(spark, tmp):
+    _write(tmp, "a.json", ["{}"])
+    plan = read_json(spark, tmp, RAW_EVENT)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2 + 3
+
+
 def test_csv_headers_matched_by_name(spark, tmp):
     _write(tmp, "1.csv", ["id,name,amount", "1,a,1.5", "2,b,2.5"])
     _write(tmp, "2.csv", ["amount,id,name,extra", "3.5,3,c,x"])
