@@ -165,8 +165,8 @@ def among(sketched: DataFrame, rows: DataFrame) -> DataFrame:
     """The rows of ``sketched`` whose position is the one column of ``rows``, sorted out before any shuffle.
 
     Positions are dense within a scan partition, so one 4 KiB bitmap stands for
-    up to 32,768 of them, exactly.  Beyond ``BROADCAST_BITMAPS`` (about
-    5e8 documents) all of ``sketched`` is returned; the joins that follow are the same.
+    up to 32,768 of them, exactly.  Beyond ``BROADCAST_BITMAPS`` (about 5e8
+    documents) the rows are found by a shuffled join.
     """
     row = F.col(rows.columns[0])
     bitmaps = stored(
@@ -174,7 +174,7 @@ def among(sketched: DataFrame, rows: DataFrame) -> DataFrame:
         "bitmaps",
     )
     if bitmaps.count() > BROADCAST_BITMAPS:
-        return sketched
+        return sketched.join(rows.select(row.alias("doc_row")).distinct(), "doc_row", "left_semi")
     byte = F.expr("conv(hex(substring(bits, cast(bitmap_bit_position(doc_row) div 8 as int) + 1, 1)), 16, 10)").cast("int")
     bit = F.call_function("shiftright", byte, F.expr("cast(bitmap_bit_position(doc_row) % 8 as int)")).bitwiseAND(F.lit(1)) == 1
     return sketched.join(F.broadcast(bitmaps), F.bitmap_bucket_number("doc_row") == F.col("bucket")).filter(bit).select(sketched.columns)
@@ -204,7 +204,6 @@ def _open_pairs(members: DataFrame, comps: DataFrame, sketched: DataFrame) -> Da
     several = own.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("value")
     open_ = stored(own.join(several, "value", "left_semi"), "open-members")
     texts = among(sketched, open_.select("rep")).select(F.col("doc_row").alias("rep"), "n", "kind0", "kind1", "shingles")
-    texts = texts.join(open_.select("rep").distinct(), "rep", "left_semi")
     each = texts.select("rep", F.explode("shingles").alias("shingle"))
     again = each.groupBy("shingle").agg(F.count("*").alias("c")).filter("c > 1").select("shingle")
     held = each.join(again, "shingle", "left_semi").groupBy("rep").agg(F.count("*").alias("held"))
@@ -243,7 +242,7 @@ def classes(docs: DataFrame) -> DataFrame:
     sketched = stored(slim.mapInArrow(_sketched, SKETCHED), "sketched")
     groups = stored(sketched.groupBy("text_key").agg(F.min("doc_row").alias("rep")), "texts")
     values = (
-        sketched.join(groups, F.col("doc_row") == F.col("rep"), "left_semi")
+        among(sketched, groups.select("rep"))
         .select(F.col("doc_row").alias("rep"), F.explode(F.concat(F.coalesce("kind0", F.array()), F.coalesce("kind1", F.array()))).alias("value"))
         .repartition("value")
     )
