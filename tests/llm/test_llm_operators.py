@@ -325,3 +325,18 @@ def test_quality_held_out_accuracy(spark, empty, docs):
     kept = quality_bayes.kept(docs, none, *quality_bayes.source_site())
     assert kept.columns == docs.columns
     assert quality_bayes.kept(empty, none, *quality_bayes.source_site()).count() == 0
+
+
+def test_near_rows_found_by_bitmaps(spark, monkeypatch):
+    """``among`` keeps exactly the named rows: at the edges of a bitmap, over partitions, repeated, absent, and by the join."""
+    from lakeshift.llm import order_minhash
+
+    high = 3 << 33
+    rows = [0, 1, 7, 8, 32_767, 32_768, 32_769, high, high + 1, high + 32_768]
+    sketched = spark.createDataFrame([(r, r + 1) for r in rows], "doc_row long, n long")
+    for limit in (order_minhash.BROADCAST_BITMAPS, 0):
+        monkeypatch.setattr(order_minhash, "BROADCAST_BITMAPS", limit)
+        for wanted in ([], [0], [1, 8], [32_768, 32_768, 5], [32_769, high], rows):
+            named = spark.createDataFrame([(w,) for w in wanted], "row long")
+            got = sorted(r.doc_row for r in order_minhash.among(sketched, named).collect())
+            assert got == sorted(set(wanted) & set(rows))
