@@ -149,10 +149,13 @@ def get_invalid(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col(ERRORS).isNotNull() | F.col(WARNINGS).isNotNull())
 
 
-def to_exceptions(invalid: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Stamp exception-queue rows: ``exception_ts`` (``as_of`` or now) and
-    ``review_status = 'PENDING'``."""
-    ts = timestamp_literal(as_of) if as_of is not None else F.current_timestamp()
+def to_exceptions(invalid: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
+    """Stamp exception-queue rows: ``exception_ts`` (``as_of``, a time or a column,
+    or now) and ``review_status = 'PENDING'``."""
+    if isinstance(as_of, Column):
+        ts = as_of
+    else:
+        ts = timestamp_literal(as_of) if as_of is not None else F.current_timestamp()
     return invalid.withColumns({"exception_ts": ts, "review_status": F.lit(REVIEW_PENDING)})
 
 

@@ -15,7 +15,9 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lakeshift.functions.timecols import timestamp_literal
 from lakeshift.operators.history import latest
 from lakeshift.operators.rules import SSN_RULES, apply_checks, get_invalid, get_valid, normalize_identifier, to_exceptions
 from lakeshift.sources.files import read_stored_stream
@@ -26,6 +28,9 @@ from lakeshift.streaming.streams import DEFAULT_WATERMARK, fan_out, run_to_compl
 TRACKED_CUSTOMER_COLUMNS = ["customer_name", "ssn", "account_balance", "source_system", "ssn_norm"]
 # --------------------------------------------------------------------------------
 
+# Processing time of a row's micro-batch, until the handlers use it.
+STAMP = "__stamp"
+
 
 @dataclass
 class ExceptionPaths:
@@ -47,12 +52,8 @@ def append_customer_records(
     missing): each gets a fresh ``record_id`` (uuid), ``source_system`` and
     ``event_ts`` (``as_of`` or now).  Re-running appends the same customers again
     with new ids and times; no tracked column changes, so no new SCD2 version."""
-    from pyspark.sql import functions as F
-
     from lakeshift.sinks import append_batch
 
-    from lakeshift.functions.timecols import timestamp_literal
-
     ts = timestamp_literal(as_of) if as_of is not None else F.current_timestamp()
     rows = df.withColumns({"record_id": F.expr("uuid()"), "source_system": F.lit(source_system), "event_ts": ts})
     append_batch(rows, target)
@@ -83,7 +84,17 @@ def run_exception_workflow(
     Each micro-batch is persisted once and fed to five handlers; on a large
     backlog cap its size with ``max_files_per_trigger`` (``availableNow`` then
     runs several bounded batches).  More ``buckets`` make small batches cheaper
-    (the SCD2 sinks rebuild only the buckets a batch touched)."""
+    (the SCD2 sinks rebuild only the buckets a batch touched).
+
+    ``exception_ts`` is ``as_of`` or the time of the micro-batch, which the stream's
+    checkpoint keeps: the queue and its history agree, and a replay stamps the same."""
+
+    def stamped(batch: DataFrame) -> DataFrame:
+        return to_exceptions(get_invalid(batch), as_of=F.col(STAMP)).drop(STAMP)
+
+    def passed(batch: DataFrame) -> DataFrame:
+        return get_valid(batch).drop(STAMP)
+
     exc_hist = Scd2Sink(
         paths.exceptions_log,
         paths.exceptions_history,
@@ -91,7 +102,7 @@ def run_exception_workflow(
         "event_ts",
         track=TRACKED_CUSTOMER_COLUMNS,
         buckets=buckets,
-        transform=lambda b: to_exceptions(get_invalid(b), as_of=as_of),
+        transform=stamped,
     )
     valid_hist = Scd2Sink(
         paths.valid_log,
@@ -100,16 +111,17 @@ def run_exception_workflow(
         "event_ts",
         track=TRACKED_CUSTOMER_COLUMNS,
         buckets=buckets,
-        transform=get_valid,
+        transform=passed,
     )
     handlers = {
-        "checked": batch_partitioned_append(paths.checked),
-        "exceptions": lambda b, i: batch_partitioned_append(paths.exceptions)(to_exceptions(get_invalid(b), as_of), i),
-        "valid": lambda b, i: batch_partitioned_append(paths.valid)(get_valid(b), i),
+        "checked": lambda b, i: batch_partitioned_append(paths.checked)(b.drop(STAMP), i),
+        "exceptions": lambda b, i: batch_partitioned_append(paths.exceptions)(stamped(b), i),
+        "valid": lambda b, i: batch_partitioned_append(paths.valid)(passed(b), i),
         "exception_history": exc_hist,
         "valid_history": valid_hist,
     }
-    stream = checked_stream(spark, paths.raw, rules, watermark, max_files_per_trigger)
+    stamp = timestamp_literal(as_of) if as_of is not None else F.current_timestamp()
+    stream = checked_stream(spark, paths.raw, rules, watermark, max_files_per_trigger).withColumn(STAMP, stamp)
     run_to_completion(fan_out(stream, handlers, paths.checkpoint))
     return exc_hist.read(spark), valid_hist.read(spark)
 

@@ -233,6 +233,20 @@ def write_customer_csv_drop(customer: DataFrame, folder: str) -> str:
     return folder
 
 
+def write_customer_code_drop(customer: DataFrame, folder: str, part: int, mode: str) -> None:
+    """CSV files of the customers of even (0: codes of nine digits) or odd keys (1:
+    codes with a letter, and a further column); a header holds a dot."""
+    k = F.col("c_custkey")
+    digits, letters = F.lpad(k.cast("string"), 9, "0"), F.concat(F.lit("x"), k.cast("string"))
+    more = [F.col("c_nationkey").alias("nation")] if part else []
+    customer.filter(k % 2 == part).select(
+        (letters if part else digits).alias("customer_code"),
+        F.col("c_name").alias("customer_name"),
+        F.col("c_acctbal").alias("account.balance"),
+        *more,
+    ).write.option("header", "true").mode(mode).csv(folder)
+
+
 def write_customer_feed(customer: DataFrame, folder: str) -> str:
     """The two customer loads appended one after the other (append-only table)."""
     customers(customer).write.mode("overwrite").parquet(folder)

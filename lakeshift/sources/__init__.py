@@ -7,6 +7,7 @@ from lakeshift.sources.files import (
     load_schema,
     merge_schemas,
     read_csv_evolving,
+    read_csv_text,
     read_json,
     read_json_stream,
     read_stored,
@@ -22,6 +23,7 @@ __all__ = [
     "load_schema",
     "merge_schemas",
     "read_csv_evolving",
+    "read_csv_text",
     "read_json",
     "read_json_stream",
     "read_stored",

@@ -130,8 +130,10 @@ _HEADER_CHUNK = 1 << 16
 
 def _first_lines(batches):
     """mapInPandas body: open each file (pyarrow file systems) and read bytes up
-    to the first line break only.  Unknown schemes yield NULL (caller falls back)."""
+    to the first line break only.  Schemes without a file system here yield NULL
+    (caller falls back); a file that cannot be opened or decoded fails the task."""
     import pandas as pd
+    import pyarrow as pa
     from pyarrow import fs as pafs
 
     for pdf in batches:
@@ -140,17 +142,18 @@ def _first_lines(batches):
             target = uri[len("file:"):] if uri.startswith("file:") and not uri.startswith("file://") else uri
             try:
                 filesystem, path = pafs.FileSystem.from_uri(target if "://" in target else f"file://{target}")
-                buf = b""
-                with filesystem.open_input_stream(path) as fh:
-                    while b"\n" not in buf:
-                        chunk = fh.read(_HEADER_CHUNK)
-                        if not chunk:
-                            break
-                        buf += chunk
-                line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8")
-                headers.append(line.removeprefix("\ufeff"))
-            except Exception:  # noqa: BLE001 - scheme pyarrow cannot open: Spark scan fallback
+            except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
                 headers.append(None)
+                continue
+            buf = b""
+            with filesystem.open_input_stream(path) as fh:
+                while b"\n" not in buf:
+                    chunk = fh.read(_HEADER_CHUNK)
+                    if not chunk:
+                        break
+                    buf += chunk
+            line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8")
+            headers.append(line.removeprefix("\ufeff"))
         yield pd.DataFrame({"file_path": pdf["file_path"], "header": headers})
 
 
@@ -193,21 +196,74 @@ def file_headers_by_scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame
     return lines.filter(F.col("__block") == 0).groupBy("file_path").agg(F.min_by("value", "__pos").alias("header"))
 
 
-def read_csv_evolving(
+def quoted(name: str) -> str:
+    """A column name as one identifier, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _reads_as(text: Column, dtype: T.DataType) -> Column:
+    """Whether a CSV text is a value of ``dtype``."""
+    if dtype == T.StringType():
+        return F.lit(True)
+    reads = text.try_cast(dtype).isNotNull()
+    if dtype == T.BooleanType():
+        return reads & F.lower(text).isin("true", "false")
+    if dtype == T.DateType():
+        return reads & (F.length(text) == 10)
+    return reads
+
+
+# Types tried for a new column, in this order; text if none holds.
+_INFERRED = [T.IntegerType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.DateType(), T.TimestampType()]
+
+
+def _candidates(known: T.DataType | None) -> list[T.DataType]:
+    """Types a column may have: all for a new one, else its own and the wider ones."""
+    if known is None:
+        return _INFERRED
+    if known in _WIDENING:
+        return [t for t in _WIDENING[_WIDENING.index(known) :] if t != T.StringType()]
+    return [known]
+
+
+def infer_text_types(text: DataFrame, known: T.StructType | None = None) -> T.StructType:
+    """The types of text columns: for each column the first type that reads all of
+    its values (a known column keeps its type unless a value needs a wider one; a
+    column without any value keeps its type, or is text).  One aggregate over the
+    columns that are not known to be text, with a partial result per task."""
+    types = {f.name: f.dataType for f in known.fields} if known else {}
+    tried = {i: _candidates(types.get(c)) for i, c in enumerate(text.columns) if types.get(c) != T.StringType()}
+    found = {c: types.get(c, T.StringType()) for c in text.columns}
+    if tried:
+        aggs = []
+        for i, candidates in tried.items():
+            c = F.col(quoted(text.columns[i]))
+            aggs.append(F.count(c).alias(f"n{i}"))
+            aggs += [F.count_if(c.isNotNull() & ~_reads_as(c, t)).alias(f"n{i}_{k}") for k, t in enumerate(candidates)]
+        row = text.agg(*aggs).first()
+        for i, candidates in tried.items():
+            if row[f"n{i}"]:
+                fits = [t for k, t in enumerate(candidates) if row[f"n{i}_{k}"] == 0]
+                found[text.columns[i]] = fits[0] if fits else T.StringType()
+    return T.StructType([T.StructField(c, found[c], True) for c in text.columns])
+
+
+def read_csv_text(
     spark: SparkSession,
     paths: Sequence[str],
     schema_store: str | None = None,
     infer: bool = True,
     **options,
-) -> DataFrame:
-    """Read CSV files whose headers differ, matching columns by *name*.
+) -> tuple[DataFrame, T.StructType]:
+    """CSV files whose headers differ, as text columns matched by *name*, and the
+    merged schema of their values.
 
     A single CSV scan over files with different headers assigns values by
-    position, silently.  Here files are grouped by header line, each group is
-    read with its own header, cast to the merged schema (stored in
-    ``schema_store``, widened / extended by new columns) and the groups are
-    combined with ``unionByName(allowMissingColumns=True)``.  Only the list of
-    (file, header) pairs reaches the driver — one row per file.
+    position, silently.  Here files are grouped by header line, each group is read
+    with its own header, and the groups are combined by name, absent columns NULL.
+    The schema in ``schema_store`` is widened and extended by new columns; values
+    stay the text of the file, so a type widened later loses nothing (``007``).
+    Only the list of (file, header) pairs reaches the driver: one row per file.
     """
     paths = list(paths)
     if not paths:
@@ -216,27 +272,44 @@ def read_csv_evolving(
     for row in file_headers(spark, paths).collect():
         groups.setdefault(row["header"], []).append(row["file_path"])
     stored = load_schema(spark, schema_store) if schema_store else None
-    merged = stored
-    frames = []
-    for files in groups.values():
-        part = spark.read.options(header="true", inferSchema=str(infer).lower(), **options).csv(files)
-        merged = merge_schemas(merged, part.schema)
-        frames.append(part)
+    parts = [spark.read.options(header="true", inferSchema="false", **options).csv(files) for files in groups.values()]
+    names = list(dict.fromkeys([*(stored.names if stored else []), *(c for p in parts for c in p.columns)]))
+    text = reduce(
+        DataFrame.unionAll,
+        [p.select(*[(F.col(quoted(c)) if c in p.columns else F.lit(None).cast("string")).alias(c) for c in names]) for p in parts],
+    )
+    if infer:
+        merged = infer_text_types(text, stored)
+    else:
+        known = {f.name: f for f in stored.fields} if stored else {}
+        merged = T.StructType([known.get(c, T.StructField(c, T.StringType(), True)) for c in names])
     if schema_store and merged != stored:
         save_schema(spark, merged, schema_store)
-    cast = [
-        f.select(*[F.col(c.name).cast(merged[c.name].dataType).alias(c.name) for c in f.schema.fields]) for f in frames
-    ]
-    combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cast)
-    present = set(combined.columns)
-    return combined.select(
+    return text, merged
+
+
+def typed(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns cast to ``schema``; columns that ``text`` lacks are NULL."""
+    return text.select(
         *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in merged.fields
+            (F.col(quoted(f.name)) if f.name in text.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
         ]
     )
 
 
+def read_csv_evolving(
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema_store: str | None = None,
+    infer: bool = True,
+    **options,
+) -> DataFrame:
+    """Read CSV files whose headers differ, matching columns by *name*, with the
+    types of the merged schema (see ``read_csv_text``)."""
+    return typed(*read_csv_text(spark, paths, schema_store, infer, **options))
+
+
 # ------------------------------------------------------------------------ stored tables
 def read_stored(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
     """Batch scan of a stored parquet table (files may carry added columns)."""

@@ -8,6 +8,9 @@ batch ``scd2`` and written over those buckets only (dynamic overwrite again).
 Late and out-of-order records need no special case: the rebuild sees all
 records of their keys.  The history is never read while it is overwritten.
 
+The bucket count is part of the stored layout: the first batch stores it beside
+the log, and a sink with another count is refused.
+
 Rebuild cost per batch is proportional to the touched buckets' share of the
 log; more buckets make a small batch cheaper.
 """
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 
 from lakeshift.operators.history import scd2
 from lakeshift.sinks import overwrite_partitions
+from lakeshift.sources.files import path_exists
 
 BUCKET = "__bucket"
 BATCH = "__batch"
@@ -55,8 +59,18 @@ class Scd2Sink:
         self.buckets = buckets
         self.transform = transform
 
+    def _check_buckets(self, spark) -> None:
+        store = f"{self.log}_buckets"
+        if not path_exists(spark, f"{store}/_SUCCESS"):
+            spark.createDataFrame([(str(self.buckets),)], "v string").coalesce(1).write.mode("overwrite").text(store)
+            return
+        stored = int(spark.read.text(store).first()[0])
+        if stored != self.buckets:
+            raise ValueError(f"{self.log} is laid out in {stored} buckets, not {self.buckets}")
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        self._check_buckets(spark)
         rows = self.transform(batch) if self.transform else batch
         bucket = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
         rows = rows.withColumns({BUCKET: bucket, BATCH: F.lit(batch_id)})

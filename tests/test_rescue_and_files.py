@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,3 +107,40 @@ def test_header_readers_agree(spark, tmp):
     assert fast == {"a.csv": "x,y", "b.csv": "p,q,r"}
     scan = {os.path.basename(r.file_path): r.header.removeprefix("﻿").rstrip("\r") for r in file_headers_by_scan(spark, files).collect()}
     assert scan == fast
+
+
+def _load_csv(spark, tmp):
+    from lakeshift.plans.csv_autoload import run_csv_autoload
+
+    return run_csv_autoload(spark, f"{tmp}/drop", f"{tmp}/table", f"{tmp}/_schema", f"{tmp}/_ckpt")
+
+
+def test_csv_table_reads_back_after_a_type_widens(spark, tmp):
+    os.makedirs(f"{tmp}/drop")
+    _write(f"{tmp}/drop", "1.csv", ["id,a.b", "007,1", "8,2"])
+    first = _load_csv(spark, tmp)
+    assert first.schema["id"].dataType == T.IntegerType()
+    assert sorted(map(tuple, first.collect())) == [(7, 1), (8, 2)]
+    _write(f"{tmp}/drop", "2.csv", ["id,a.b,more", "x9,2.5,true"])
+    second = _load_csv(spark, tmp)
+    assert [f.dataType for f in second.schema.fields] == [T.StringType(), T.DoubleType(), T.BooleanType()]
+    assert sorted(map(tuple, second.collect())) == [("007", 1.0, None), ("8", 2.0, None), ("x9", 2.5, True)]
+
+
+def test_csv_column_without_values_keeps_its_type(spark, tmp):
+    os.makedirs(f"{tmp}/drop")
+    _write(f"{tmp}/drop", "1.csv", ["id,day,code", "1,2024-01-01,a"])
+    _load_csv(spark, tmp)
+    _write(f"{tmp}/drop", "2.csv", ["id,day,code", ",,007"])
+    table = _load_csv(spark, tmp)
+    assert [f.dataType for f in table.schema.fields] == [T.IntegerType(), T.DateType(), T.StringType()]
+    assert table.filter("id is null").first().code == "007"
+
+
+def test_unreadable_csv_file_fails(spark, tmp):
+    from lakeshift.sources.files import file_headers
+
+    with open(os.path.join(tmp, "bad.csv"), "wb") as fh:
+        fh.write(b"\xff\xfe\xfa,x\n1,2\n")
+    with pytest.raises(Exception, match="UnicodeDecodeError|decode"):
+        file_headers(spark, [os.path.join(tmp, "bad.csv")]).collect()

@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeshift.operators.clean import silver_events
@@ -74,3 +75,38 @@ def test_stream_expectation_counters(spark, tmp):
     assert totals["input_rows"] == ev.count()
     assert totals["valid_event_type_failed"] == ev.filter("event_type = 'error'").count()
     assert spark.read.parquet(f"{tmp}/silver").count() == ev.count() - totals["valid_event_type_failed"]
+
+
+def test_scd2_sink_refuses_another_bucket_count(spark, tmp):
+    ev = fx.table(spark, SF001, "events").select("user_id", "ts", "event_type", "event_id")
+    of = lambda n: Scd2Sink(f"{tmp}/log", f"{tmp}/hist", ["user_id"], "ts", track=["event_type"], buckets=n)
+    of(4)(ev, 0)
+    with pytest.raises(ValueError, match="laid out in 4 buckets"):
+        of(7)(ev, 1)
+
+
+def test_one_stamp_per_exception(spark, tmp):
+    fx.write_customer_feed(fx.table(spark, SF001, "customer"), f"{tmp}/raw")
+    names = ["checkpoint", "checked", "exceptions", "exceptions_log", "exceptions_history", "valid", "valid_log",
+             "valid_history"]
+    paths = ExceptionPaths(f"{tmp}/raw", *[f"{tmp}/{n}" for n in names])
+    run_exception_workflow(spark, paths, buckets=4)
+    stamps = lambda p: {r[0] for r in spark.read.parquet(p).select("exception_ts").distinct().collect()}
+    assert len(stamps(paths.exceptions)) == 1 and stamps(paths.exceptions) == stamps(paths.exceptions_log)
+    for p in (paths.checked, paths.valid, paths.exceptions, paths.valid_log):
+        assert "__stamp" not in spark.read.parquet(p).columns
+
+
+def test_cost_monitor_run_twice_adds_nothing(spark, tmp):
+    from lakeshift.plans.cost_monitor import run_cost_monitor
+
+    samples = fx.cluster_samples(fx.table(spark, SF001, "orders"))
+    blank = samples.limit(1).select(F.lit(None).cast("string").alias("run_id"), F.lit(None).cast("timestamp").alias("sampled_at"),
+                                    "cluster_id", F.lit("RUNNING").alias("state"), F.lit(3).alias("num_workers"),
+                                    F.lit(0).cast("bigint").alias("queries_run"))
+    samples = samples.unionByName(blank)
+    first = run_cost_monitor(spark, samples, f"{tmp}/log").count()
+    again = run_cost_monitor(spark, samples, f"{tmp}/log")
+    assert again.count() == first > 0
+    assert spark.read.parquet(f"{tmp}/log").count() == samples.count()
+    assert again.filter("run_id is null").count() == 1
