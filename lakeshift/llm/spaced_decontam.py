@@ -5,9 +5,8 @@ hashed together, those under its zeros are ignored, so one or two substituted
 words in a passage leave some seed untouched.  Benchmark and documents are
 hashed with the same masks; documents drop the hashes that a bitmap of the
 benchmark's hashes (of fixed size) excludes, and the rest are joined exactly.
-Around every hit the two texts are laid over each other on the hit's diagonal
-and the best run of words (+1 for an equal word, ``MISS`` for a substituted
-one) is measured: a document is contaminated if such a run has at least
+Around every hit the two texts are laid over each other on the hit's diagonal:
+a document is contaminated if any run of words there has at least
 ``min_words`` equal words (all words of a shorter item) and at least
 ``min_share`` of its words are equal.
 
@@ -21,6 +20,7 @@ matches; columns other than ids and texts are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,6 @@ from lakeshift.session import ship_package
 MASKS = ("1111011", "11010111", "110011101", "1110100111")
 MIN_WORDS = 13
 MIN_SHARE = 0.8
-MISS = -2.0
 #: The bitmap that excludes hashes no benchmark item has: 2**BITMAP_BITS bits, whatever the benchmark's size.
 BITMAP_BITS = 25
 #: Contaminated rows (8 bytes each) up to this many are broadcast, else shuffled.
@@ -169,13 +168,14 @@ def _regions(bitmap) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     return run
 
 
-def best_run(equal: np.ndarray, miss: float = MISS) -> tuple[int, int, int]:
-    """(start, end, equal words) of the run with the largest sum of +1 for equal and ``miss`` for other words."""
-    total = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0, miss))])
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    start = int(np.argmax(total[: end + 1] == low[end]))
-    return start, end, int(equal[start:end].sum())
+def most_equal(equal: np.ndarray, min_share: float) -> int:
+    """The most equal words that any run holds of which at least ``min_share`` are equal."""
+    share = Fraction(min_share).limit_denominator(10_000)
+    total = np.concatenate([[0], np.cumsum(np.where(equal, share.denominator, 0) - share.numerator)])
+    count = np.concatenate([[0], np.cumsum(equal)])
+    # A run may end at j and begin at i if total[i] <= total[j]; the first such i is where the running minimum gets there.
+    first = np.searchsorted(-np.minimum.accumulate(total), -total)
+    return int((count - count[first]).max())
 
 
 def _verified(min_words: int, min_share: float):
@@ -186,8 +186,8 @@ def _verified(min_words: int, min_share: float):
             for i, d in enumerate(diagonal):
                 w, t = words[i].values.to_numpy(), item[i].values.to_numpy()
                 lo, hi = max(0, -d), min(len(t), len(w) - d)
-                start, end, equal = best_run(w[lo + d : hi + d] == t[lo:hi])
-                if equal >= min(min_words, len(t)) and equal >= min_share * (end - start):
+                equal = most_equal(w[lo + d : hi + d] == t[lo:hi], min_share)
+                if equal >= min(min_words, len(t)):
                     keep.append(i)
                     n.append(equal)
             yield pa.RecordBatch.from_arrays(

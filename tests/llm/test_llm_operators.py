@@ -206,6 +206,21 @@ def test_decontamination(spark, docs, empty):
     assert spaced_decontam.contamination(empty, bench).count() == 0
 
 
+def test_a_run_is_not_diluted_by_what_follows(spark):
+    rng = random.Random(6)
+    for _ in range(300):
+        equal = np.array([rng.random() < 0.75 for _ in range(rng.randint(1, 40))])
+        runs = [equal[i:j] for i in range(len(equal)) for j in range(i + 1, len(equal) + 1)]
+        assert spaced_decontam.most_equal(equal, 0.8) == max((int(x.sum()) for x in runs if 5 * x.sum() >= 4 * len(x)), default=0)
+    assert spaced_decontam.most_equal(np.zeros(0, bool), 0.8) == 0
+    item = [f"w{i}" for i in range(108)]
+    same = {1: "e" * 13 + "xeexeexeee" * 3, 2: "e" * 20 + "xeee" * 22, 3: "e" * 12 + "x"}
+    texts = [(k, " ".join(w if c == "e" else "zz" for w, c in zip(item, p, strict=False))) for k, p in same.items()]
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    out = spaced_decontam.contamination(spark.createDataFrame(texts, "doc_id long, text string"), bench)
+    assert {r.doc_id: r.contaminated for r in out.collect()} == {1: True, 2: True, 3: False}
+
+
 def test_near_duplicates(docs, empty, rows):
     got = order_minhash.near_duplicates(docs).collect()
     shingles = {}
