@@ -10,8 +10,9 @@ a document is contaminated if any run of words there has at least
 ``min_words`` equal words (all words of a shorter item) and at least
 ``min_share`` of its words are equal.
 
-Words are lower-case runs of letters and digits, so case and punctuation do
-not hide a passage.  Defined cases: a null or empty text on either side
+Words are case-folded runs of letters, digits and marks of any script in
+compatibility composition (NFKC), so case, punctuation, kinds of blanks and
+quotes, and the encoding of accents do not hide a passage.  Defined cases: a null or empty text on either side
 matches nothing; items of fewer words than the shortest mask spans (8) are
 not searched; repeated rows are judged row by row; empty tables give no
 matches; columns other than ids and texts are not read.
@@ -61,6 +62,7 @@ def seed_hashes(h: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarr
 
 def _hashed(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     for a, _, data, offsets in textnum.slices(texts):
+        data, offsets = textnum.one_spelling(data, offsets)
         starts, ends, rows = textnum.words(data, offsets, textnum.PLAIN)
         yield a, textnum.word_hashes(data, starts, ends), rows
 

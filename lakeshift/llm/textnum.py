@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -70,6 +71,34 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = SPACED) ->
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+class _Characters(dict):
+    """What a character becomes: letters, numbers and marks stay, unseen format characters go, all else separates words."""
+
+    def __missing__(self, c: int) -> str | None:
+        kind = unicodedata.category(chr(c))
+        unseen = kind == "Cf" or 0xFE00 <= c <= 0xFE0F or c == 0x34F
+        out = self[c] = None if unseen else chr(c) if kind[0] in "LNM" else " "
+        return out
+
+
+_CHARACTERS = _Characters()
+
+
+def one_spelling(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets with the rows that hold other than ASCII characters case-folded, composed and in ``PLAIN`` words."""
+    high = np.flatnonzero(data >= 128)
+    if not len(high):
+        return data, offsets
+    lengths, pieces, done = np.diff(offsets), [], 0
+    for r in np.unique(np.searchsorted(offsets, high, "right") - 1):
+        text = data[offsets[r] : offsets[r + 1]].tobytes().decode("utf-8", "replace")
+        text = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text).casefold())
+        new = np.frombuffer(text.translate(_CHARACTERS).encode(), np.uint8)
+        pieces += [data[done : offsets[r]], new]
+        done, lengths[r] = offsets[r + 1], len(new)
+    return np.concatenate([*pieces, data[done:]]), np.concatenate([[0], np.cumsum(lengths)])
+
+
 @cache
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -221,6 +222,27 @@ def test_a_run_is_not_diluted_by_what_follows(spark):
     assert {r.doc_id: r.contaminated for r in out.collect()} == {1: True, 2: True, 3: False}
 
 
+def test_case_and_punctuation_of_any_script_do_not_hide_a_passage(spark):
+    text = "¿Où est l’élève? Die große Straße führt «über» den Fluß – ΟΔΟΣ és Čeština, naïve Übung; हिन्दी शब्द"
+    plain = "où est l élève die große straße führt über den fluß οδος és čeština naïve übung हिन्दी शब्द"
+    copies = [
+        text,
+        text.upper(),
+        plain,
+        plain.title(),
+        unicodedata.normalize("NFD", text),
+        plain.replace(" ", "\u00a0"),
+        " ".join(f"“{w}”—" for w in plain.split()),
+        text.replace("große", "gro\u00adße"),
+    ]
+    hashes = [[h.tolist() for _, h, _ in spaced_decontam._hashed(pa.array(["x y", t, ""]))] for t in copies]
+    assert all(h == hashes[0] for h in hashes) and len(hashes[0][0]) == 2 + len(plain.split())
+    bench = spark.createDataFrame([(1, text)], "item_id long, text string")
+    docs = spark.createDataFrame([*enumerate(copies), (99, "é " * 40)], "doc_id long, text string")
+    found = {r.doc_id for r in spaced_decontam.contamination(docs, bench).filter("contaminated").collect()}
+    assert found == set(range(len(copies)))
+
+
 def test_near_duplicates(docs, empty, rows):
     got = order_minhash.near_duplicates(docs).collect()
     shingles = {}
