@@ -7,6 +7,7 @@ import re
 import unicodedata
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -243,6 +244,20 @@ def test_case_and_punctuation_of_any_script_do_not_hide_a_passage(spark):
     assert found == set(range(len(copies)))
 
 
+def test_every_item_and_every_run_of_the_rule_is_searched(spark):
+    rng = random.Random(8)
+    for n, misses in [(13, 0), (14, 1), (15, 2), (16, 3), (17, 3), (18, 3), (20, 4)]:
+        for at in combinations(range(1, n - 1), misses):
+            assert any(all(m[i] == "0" or p + i not in at for i in range(len(m))) for m in spaced_decontam.MASKS for p in range(n - len(m) + 1)), at
+    items = [(None, prose(rng, 30)), (None, prose(rng, 30)), (4, prose(rng, 30)), (4, prose(rng, 30)), (5, prose(rng, 16))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    missed = " ".join("zz" if i in (6, 8, 11) else w for i, w in enumerate(items[4][1].split()))
+    texts = [items[0][1], items[1][1] + " " + items[2][1], items[3][1] + " " + items[2][1], missed, prose(rng, 30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.n_items, r.item_ids) for r in spaced_decontam.contamination(docs, bench).collect()}
+    assert got == {0: (True, 1, ""), 1: (True, 2, "4"), 2: (True, 1, "4"), 3: (True, 1, "5"), 4: (False, 0, "")}
+
+
 def test_near_duplicates(docs, empty, rows):
     got = order_minhash.near_duplicates(docs).collect()
     shingles = {}
