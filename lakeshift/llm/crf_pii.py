@@ -10,7 +10,7 @@ may not touch a base span.
 
 The field is trained on a small labelled table (``labelled_table`` or one's
 own: text and spans) by maximising its penalised likelihood; decoding is
-Viterbi over padded batches of word sequences in numpy.
+Viterbi over padded batches of whole word sequences, however long, in numpy.
 
 Defined cases: a null text counts as empty; repeated rows are searched each;
 an empty table gives an empty result; columns other than ``doc_id`` and
@@ -85,6 +85,9 @@ def base_spans(text: str) -> list[Span]:
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 CANDIDATE = re.compile(r"[0-9@]+|[\[({]\s?at\s?[\])}]", re.IGNORECASE)
 AROUND = 3
+#: Positions of a batch whose features are held at once, and padded words of a batch (a longer sequence is a batch of its own).
+PIECE = 100
+CELLS = 400_000
 TAGS = ("O", *[f"{p}-{k}" for k in KINDS for p in "BI"])
 WORDS_SEEN = {"at", "dot", "[at]", "[dot]", "(at)", "(dot)", "version", "tel", "phone", "call", "card", "ip", "email", "mail"}
 
@@ -103,25 +106,32 @@ def _collapsed(s: str) -> str:
     return re.sub(r"(.)\1+", r"\1", s)
 
 
-def word_features(words: list[str]) -> list[list[str]]:
-    s = [shape(w) for w in words]
-    c = ["<", *map(_collapsed, s), ">"]
-    n = [0, *[sum(x in "0123456789" for x in w) for w in words], 0]
+def word_features(words: list[str], start: int = 0, end: int | None = None) -> list[list[str]]:
+    """Features of words[start:end], the neighbours outside of them included."""
+    end = len(words) if end is None else min(end, len(words))
+    lo, hi = max(start - 1, 0), min(end + 1, len(words))
+    s = [shape(w) for w in words[lo:hi]]
+    c = [_collapsed(x) for x in s]
+    n = [sum(x in "0123456789" for x in w) for w in words[lo:hi]]
+    if lo == start:
+        s, c, n = ["", *s], ["<", *c], [0, *n]
+    if hi == end:
+        s, c, n = [*s, ""], [*c, ">"], [*n, 0]
     return [
         [
             "1",
             f"s={s[i]}",
-            f"c={c[i + 1]}",
-            f"n={min(n[i + 1], 20)}",
-            f"cn={c[i + 1]}:{min(n[i + 1], 20)}",
-            f"-c={c[i]}",
-            f"+c={c[i + 2]}",
-            f"-c,c={c[i]}|{c[i + 1]}",
-            f"c,+c={c[i + 1]}|{c[i + 2]}",
-            f"-n,n,+n={min(n[i], 9)},{min(n[i + 1], 20)},{min(n[i + 2], 9)}",
-            f"w={w}" if (w := words[i].lower().strip(".,;:")) in WORDS_SEEN else "w",
+            f"c={c[i]}",
+            f"n={min(n[i], 20)}",
+            f"cn={c[i]}:{min(n[i], 20)}",
+            f"-c={c[i - 1]}",
+            f"+c={c[i + 1]}",
+            f"-c,c={c[i - 1]}|{c[i]}",
+            f"c,+c={c[i]}|{c[i + 1]}",
+            f"-n,n,+n={min(n[i - 1], 9)},{min(n[i], 20)},{min(n[i + 1], 9)}",
+            f"w={w}" if (w := words[start + i - 1].lower().strip(".,;:")) in WORDS_SEEN else "w",
         ]
-        for i in range(len(words))
+        for i in range(1, end - start + 1)
     ]
 
 
@@ -173,23 +183,30 @@ class Field:
             ids[i, : len(x)] = [[self.names.get(f, len(self.names)) for f in fs] for fs in x]
         return self.w[ids].sum(2), lengths, ids
 
-    def viterbi(self, batch: list[list[list[str]]]) -> list[list[int]]:
-        e, lengths, _ = self.emissions(batch)
-        n, t_max, k = e.shape
-        score, back = self.start + e[:, 0], np.zeros((n, t_max, k), np.int8)
-        final = score.copy()
-        for t in range(1, t_max):
-            step = score[:, :, None] + self.trans[None]
-            back[:, t] = step.argmax(1)
-            score = step.max(1) + e[:, t]
-            final = np.where((lengths > t)[:, None], score, final)
-        tag = final.argmax(1)
-        out = np.zeros((n, t_max), int)
+    def viterbi(self, batch: list[list[str]]) -> list[list[int]]:
+        """The best tags of whole word sequences; emissions are held for ``PIECE`` positions at a time, back pointers for all."""
+        lengths = np.array([len(x) for x in batch])
+        n, t_max, k = len(batch), int(lengths.max()), len(TAGS)
+        back = np.zeros((t_max, n, k), np.int8)
+        score = np.zeros((n, k))
+        for a in range(0, t_max, PIECE):
+            live = np.flatnonzero(lengths > a)
+            e = self.emissions([word_features(batch[i], a, a + PIECE) for i in live])[0]
+            for t in range(a, a + e.shape[1]):
+                on = lengths[live] > t
+                rows = live[on]
+                if not t:
+                    score[rows] = self.start + e[on, 0]
+                    continue
+                step = score[rows, :, None] + self.trans[None]
+                back[t, rows] = step.argmax(1)
+                score[rows] = step.max(1) + e[on, t - a]
+        tag, every = score.argmax(1), np.arange(n)
+        out = np.zeros((t_max, n), np.int8)
         for t in range(t_max - 1, -1, -1):
-            last = lengths - 1 == t
-            inner = lengths - 1 > t
-            out[:, t] = np.where(last, tag, np.where(inner, np.take_along_axis(back[:, min(t + 1, t_max - 1)], out[:, min(t + 1, t_max - 1), None], 1)[:, 0], 0))
-        return [out[i, :m].tolist() for i, m in enumerate(lengths)]
+            out[t] = tag
+            tag = np.where(lengths > t, back[t, every, tag], tag)
+        return [out[:m, i].tolist() for i, m in enumerate(lengths)]
 
     def fit(self, batch: list[list[list[str]]], tags: list[list[int]], steps: int = 80, penalty: float = 0.02) -> Field:
         """Maximise the penalised likelihood of the tags (forward-backward, Adam)."""
@@ -317,16 +334,23 @@ _EXACT = {
 }
 
 
+def batches_of(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of batches of at most ``most`` sequences (by rising length) that take up to ``CELLS`` padded words."""
+    a = 0
+    for b in range(1, len(lengths) + 1):
+        if b == len(lengths) or b - a == most or (b + 1 - a) * lengths[b] > CELLS:
+            yield a, b
+            a = b
+
+
 def added_spans(field: Field, texts: list[str], base: list[list[Span]], batch: int = 2000) -> list[list[Span]]:
     """Spans the field finds beside the base spans, for each text."""
     where = [(i, run) for i, t in enumerate(texts) for run in sequences(t)]
     out: list[list[Span]] = [[] for _ in texts]
     where.sort(key=lambda x: len(x[1]))  # sequences of like length share a batch
-    longest = 100
-    where = [(i, run[a : a + longest]) for i, run in where for a in range(0, len(run), longest)]
-    for a in range(0, len(where), batch):
-        some = where[a : a + batch]
-        tagged = field.viterbi([word_features([texts[i][s:e] for s, e in run]) for i, run in some])
+    for a, b in batches_of([len(run) for _, run in where], batch):
+        some = where[a:b]
+        tagged = field.viterbi([[texts[i][s:e] for s, e in run] for i, run in some])
         for (i, run), tags in zip(some, tagged, strict=True):
             j = 0
             while j < len(run):

@@ -364,6 +364,32 @@ def test_personal_data(spark, empty):
     assert crf_pii.personal_data(empty).count() == 0
 
 
+def test_long_sequences_are_decoded_whole():
+    field = crf_pii.train(crf_pii.labelled_table())
+    rng = random.Random(2)
+    for n in (96, 97, 98, 99, 100, 101, 199):
+        text = " ".join(["12,"] * n + ["(555) 123-4567", *["12,"] * 30])
+        at = text.index("(")
+        assert crf_pii.added_spans(field, [text], [[]]) == [[("phone", at, at + 14)]], n
+    words = [rng.choice(("12,", "(555)", "123-4567", "1.2.3.4", "a@b", "x", "4111")) for _ in range(350)]
+    assert [f for a in range(0, 350, 40) for f in crf_pii.word_features(words, a, a + 40)] == crf_pii.word_features(words)
+    many = [words[: rng.randint(1, 350)] for _ in range(40)]
+    for w, tags in zip(many, field.viterbi(many), strict=True):
+        e = field.emissions([crf_pii.word_features(w)])[0][0]
+        best, backs = field.start + e[0], []
+        for x in e[1:]:
+            backs.append((best[:, None] + field.trans).argmax(0))
+            best = (best[:, None] + field.trans).max(0) + x
+        path = [int(best.argmax())]
+        for b in reversed(backs):
+            path.append(int(b[path[-1]]))
+        assert tags == path[::-1]
+    lengths = sorted(rng.choice((3, 50, 5000, 300_000, 500_000)) for _ in range(300))
+    cut = list(crf_pii.batches_of(lengths, 100))
+    assert [i for a, b in cut for i in range(a, b)] == list(range(300))
+    assert all(b - a <= 100 and (b - a == 1 or (b - a) * lengths[b - 1] <= crf_pii.CELLS) for a, b in cut)
+
+
 def test_quality_held_out_accuracy(spark, empty, docs):
     d = "/root/testdata/sf0.1"
     table, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
