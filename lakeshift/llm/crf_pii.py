@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,14 +93,21 @@ TAGS = ("O", *[f"{p}-{k}" for k in KINDS for p in "BI"])
 WORDS_SEEN = {"at", "dot", "[at]", "[dot]", "(at)", "(dot)", "version", "tel", "phone", "call", "card", "ip", "email", "mail"}
 
 
+class _Shapes(dict):
+    def __missing__(self, c: int) -> str:
+        x = chr(c)
+        out = self[c] = "9" if x in "0123456789" else "A" if x.isupper() else "a" if x.isalpha() else x
+        return out
+
+
+_SHAPES = _Shapes()
+LONG_RUN = re.compile(r"(.)\1{4,}", re.DOTALL)
+
+
 def shape(word: str) -> str:
-    """Digits as 9, letters as a or A, others as they are; runs end at four."""
-    out = ""
-    for c in word[:40]:
-        x = "9" if c in "0123456789" else "A" if c.isupper() else "a" if c.isalpha() else c
-        if not out.endswith(x * 4):
-            out += x
-    return out
+    """Digits as 9, letters as a or A, others as they are; runs end at four.  Shapes over 80 characters go by their digest."""
+    out = LONG_RUN.sub(r"\1\1\1\1", word.translate(_SHAPES))
+    return out if len(out) <= 80 else hashlib.sha256(out.encode("utf-8", "replace")).hexdigest()
 
 
 def _collapsed(s: str) -> str:
@@ -330,10 +338,48 @@ _EXACT = {
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"),
     "card": re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){15,18}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9])(?:\+[0-9]|\([0-9]{1,5}\)|[0-9])[\x20().0-9-]+[0-9](?![0-9])"),
-    "email": re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?(?:@|[\[({]\s?at\s?[\])}])\s?[A-Za-z0-9-]+(?:(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?)[A-Za-z0-9-]+)+", re.IGNORECASE),
+    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+\s?(?:@|[\[({]\s?at\s?[\])}])\s?[A-Za-z0-9-]+(?:(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?)[A-Za-z0-9-]+)+", re.IGNORECASE),
 }
 
 
+PHONE_START = re.compile(r"(?<![0-9])(?:\+[0-9]|\([0-9]{1,5}\)|[0-9])")
+
+
+def exact_spans(kind: str, text: str, words: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """All valid matches of the kind's expression in a run of words."""
+    lo, hi = words[0][0], words[-1][1]
+    if kind == "phone":
+        yield from _phones(text, words)
+    else:
+        yield from (m.span() for m in _EXACT[kind].finditer(text, lo, hi) if valid(kind, m[0]))
+
+
+def _phones(text: str, words: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Phones are written like their lists: of a match with too many digits, the longest valid part that ends with a word counts."""
+    at, hi = words[0][0], words[-1][1]
+    while begin := PHONE_START.search(text, at, hi):
+        start = begin.start()
+        first = last = bisect_right(words, (start, hi)) - 1
+        digits = len(DIGIT.findall(text, start, words[first][1]))
+        while digits <= 15 and last + 1 < len(words):
+            last += 1
+            digits += len(DIGIT.findall(text, *words[last]))
+        m = _EXACT["phone"].match(text, start, words[last][1])
+        if not m:
+            at = start + 1
+        elif valid("phone", m[0]):
+            yield m.span()
+            at = m.end()
+        elif digits > 15 and m.end() > words[first][1]:
+            parts = (_EXACT["phone"].fullmatch(text, start, words[w][1]) for w in range(last - 1, first - 1, -1))
+            part = next((x for x in parts if x and valid("phone", x[0])), None)
+            if part:
+                yield part.span()
+            at = part.end() if part else words[first][1]
+        else:
+            at = m.end()
+
+
 def batches_of(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
     """(start, end) of batches of at most ``most`` sequences (by rising length) that take up to ``CELLS`` padded words."""
     a = 0
@@ -361,10 +407,9 @@ def added_spans(field: Field, texts: list[str], base: list[list[Span]], batch: i
                 k = j + 1
                 while k < len(run) and TAGS[tags[k]] == f"I-{name[2:]}":
                     k += 1
-                lo, hi = run[j][0], run[k - 1][1]
-                m = _EXACT[name[2:]].search(texts[i], lo, hi)
-                if m and valid(name[2:], m[0]) and not any(s < m.end() and m.start() < e for _, s, e in base[i] + out[i]):
-                    out[i].append((name[2:], m.start(), m.end()))
+                for lo, hi in exact_spans(name[2:], texts[i], run[j:k]):
+                    if not any(s < hi and lo < e for s_ in (base[i], out[i]) for _, s, e in s_):
+                        out[i].append((name[2:], lo, hi))
                 j = k
     return out
 

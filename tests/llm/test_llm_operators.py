@@ -390,6 +390,27 @@ def test_long_sequences_are_decoded_whole():
     assert all(b - a <= 100 and (b - a == 1 or (b - a) * lengths[b - 1] <= crf_pii.CELLS) for a, b in cut)
 
 
+def test_all_matches_of_a_tagged_run_are_tried():
+    def exact(kind, text):
+        return [text[a:b] for a, b in crf_pii.exact_spans(kind, text, [m.span() for m in crf_pii.WORD.finditer(text)])]
+
+    assert exact("card", "4111111111111112 4111111111111111 4111 1111 1111 1111") == ["4111111111111111", "4111 1111 1111 1111"]
+    assert exact("ip", "999.1.1.1 10.2.3.4,10.2.3.5") == ["10.2.3.4", "10.2.3.5"]
+    assert exact("phone", "(555) 123-4567 (555) 987-6543 12") == ["(555) 123-4567", "(555) 987-6543 12"]
+    assert exact("phone", "555-123-4567 555-987-6543 555-987-6544") == ["555-123-4567", "555-987-6543", "555-987-6544"]
+    assert exact("phone", "1234567890123456 555-123-4567") == ["555-123-4567"] and exact("phone", "12 34") == []
+    assert exact("email", "x" * 90 + " [at] home.org") == ["x" * 90 + " [at] home.org"] and exact("email", "y" * 50_000) == []
+    assert crf_pii.shape("ab12-" * 9 + "4111") != crf_pii.shape("ab12-" * 9 + "word") and crf_pii.shape("aaaaaaB12345é") == "aaaaA9999a"
+    assert crf_pii.shape("ab1-" * 50 + "1") != crf_pii.shape("ab1-" * 50 + "a")
+
+    class Tags:
+        def viterbi(self, batch):
+            return [[crf_pii.TAGS.index("B-card"), *[crf_pii.TAGS.index("I-card")] * (len(x) - 1)] for x in batch]
+
+    text = "4111111111111112 4111111111111111 5500005555555559"
+    assert crf_pii.added_spans(Tags(), [text], [[("card", 17, 33)]]) == [[("card", 34, 50)]]
+
+
 def test_quality_held_out_accuracy(spark, empty, docs):
     d = "/root/testdata/sf0.1"
     table, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
