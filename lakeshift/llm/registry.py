@@ -15,6 +15,7 @@ from lakeshift.llm import (
     order_minhash,
     overlap_tokens,
     quality_bayes,
+    secret_scan,
     source_mixing,
     spaced_decontam,
 )
@@ -65,6 +66,10 @@ def op10_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bayes.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), *quality_bayes.source_site())
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_brown_lm,
@@ -77,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_chat_format,
         op9_spaced_decontam,
         op10_quality_bayes,
+        op12_secret_scan,
     ]
     return {f.__name__: f for f in found}
 
@@ -86,4 +92,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_exact_dedup": digest_dedup.ORACLE,
         "op6_source_mixing": source_mixing.ORACLE,
         "op8_chat_format": chat_format.ORACLE,
+        "op12_secret_scan": secret_scan.ORACLE,
     }
