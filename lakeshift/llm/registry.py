@@ -12,6 +12,7 @@ from lakeshift.llm import (
     crf_pii,
     digest_dedup,
     extendible_sharding,
+    merkle_manifest,
     order_minhash,
     overlap_tokens,
     quality_bayes,
@@ -70,6 +71,10 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_brown_lm,
@@ -83,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_spaced_decontam,
         op10_quality_bayes,
         op12_secret_scan,
+        op13_merkle_manifest,
     ]
     return {f.__name__: f for f in found}
 
@@ -93,4 +99,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_source_mixing": source_mixing.ORACLE,
         "op8_chat_format": chat_format.ORACLE,
         "op12_secret_scan": secret_scan.ORACLE,
+        "op13_merkle_manifest": merkle_manifest.ORACLE,
     }
