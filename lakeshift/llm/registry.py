@@ -19,6 +19,7 @@ from lakeshift.llm import (
     secret_scan,
     source_mixing,
     spaced_decontam,
+    turn_repair,
 )
 from lakeshift.llm.common import table
 
@@ -67,6 +68,10 @@ def op10_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bayes.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), *quality_bayes.source_site())
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.structure_repairs(table(spark, sf_dir, "conversations"))
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_chat_format,
         op9_spaced_decontam,
         op10_quality_bayes,
+        op11_turn_repair,
         op12_secret_scan,
         op13_merkle_manifest,
     ]
