@@ -78,6 +78,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder (none if it does not exist), on any file system of the cluster."""
+    fs, hpath = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def create_marker(spark: SparkSession, path: str) -> None:
+    """An empty file whose name is the message: it exists or not, never half."""
+    fs, hpath = _file_system(spark, path)
+    fs.create(hpath, True).close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
 def load_schema(spark: SparkSession, store: str) -> T.StructType | None:
     if not path_exists(spark, store):
         return None

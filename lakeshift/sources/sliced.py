@@ -1,10 +1,12 @@
 """Sliced API stream source (Python data source API).
 
-Offsets are ``{location name: ISO hour}``.  Each trigger plans one input
-partition per location per slice of ``hours_per_slice`` whole hours between
-the committed offset and the latest offset, so the API calls of a catch-up are
-spread over the executors; ``read`` runs on an executor and turns one API
-response (parallel hourly arrays) into rows.
+Offsets are ``{location name: ISO hour}``.  A slice is one location and
+``hours_per_slice`` whole hours.  Each trigger plans the slices between the
+committed and the latest offset as *ranges* (some locations x a span of hours),
+which ``read`` expands on an executor: the driver holds as many objects as there
+are partitions, not slices.  The latest offset is at most
+``max_slices_per_trigger`` slices ahead of the position, so a long catch-up
+commits many offsets on its way; the locations furthest behind go first.
 
 Options (all strings):
 
@@ -19,21 +21,28 @@ Options (all strings):
   per task); larger values amortise task start-up when calls are small and
   locations many;
 * ``max_partitions`` — cap on input partitions per trigger (0 = none); slices
-  are then spread evenly over that many tasks;
+  are then spread evenly over about that many tasks;
+* ``max_slices_per_trigger`` — how far an offset may advance (default 100,000
+  slices over all locations);
+* ``position`` — JSON of the offset a checkpoint holds (``committed_offset``): a
+  restarted reader advances from there, as Spark does not tell it where it was;
 * ``max_retries`` / ``backoff_sec`` — HTTP retries with exponential back-off;
   a slice that still fails fails the task (and the batch), never skipped;
 * ``fetcher`` = ``http`` (default) or ``files`` with ``root``: responses stored
-  as JSON lines under ``<root>/location_name=<name>/`` (a shared POSIX path).
+  as JSON lines under ``<root>/location_name=<name>/`` (a shared POSIX path);
+  ``none``: the rows are the planned ranges themselves (``RANGE_ROW``), for flows
+  that let Spark read the responses (``plans.sliced_ingest``).
 """
 
 from __future__ import annotations
 
 import glob
 import json
+import math
 import os
 import time
 import urllib.request
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -42,6 +51,8 @@ from lakeshift.schemas import API_SLICE_ROW
 
 SOURCE_NAME = "sliced_api"
 HOUR = timedelta(hours=1)
+MAX_SLICES_PER_TRIGGER = 100_000
+RANGE_ROW = "location_name string, latitude double, longitude double, range_start timestamp_ntz, range_end timestamp_ntz"
 
 
 def floor_hour(ts: datetime) -> datetime:
@@ -57,34 +68,64 @@ class Slice(InputPartition):
         self.name, self.lat, self.lon, self.start, self.end = name, lat, lon, start, end
 
 
-class SliceGroup(InputPartition):
-    """Several slices read by one task (consecutive: same location together)."""
+class SliceRange(InputPartition):
+    """Slices of some locations and a span of hours, read by one task."""
 
-    def __init__(self, slices: list[Slice]):
-        self.slices = slices
+    def __init__(self, locations: Sequence[tuple[str, float, float]], start: str, end: str, hours: int):
+        self.locations, self.start, self.end, self.hours = locations, start, end, hours
 
+    def slices(self) -> Iterator[Slice]:
+        step, end = HOUR * self.hours, _parse(self.end)
+        for name, lat, lon in self.locations:
+            lo = _parse(self.start)
+            while lo < end:
+                hi = min(lo + step, end)
+                yield Slice(name, lat, lon, lo.isoformat(), hi.isoformat())
+                lo = hi
 
-def group_slices(slices: list[Slice], per_partition: int) -> list[InputPartition]:
-    if per_partition <= 1:
-        return list(slices)
-    return [SliceGroup(slices[i : i + per_partition]) for i in range(0, len(slices), per_partition)]
 
-
-def plan(locations: list[dict], start: dict, end: dict, initial: str, hours_per_slice: int = 1) -> list[Slice]:
-    """Slices of whole hours covering ``[start, end)`` per location, disjoint."""
-    step = HOUR * max(1, int(hours_per_slice))
-    out = []
+def plan_ranges(
+    locations: list[dict], start: dict, end: dict, initial: str, hours_per_slice: int = 1, per_partition: int = 1, max_partitions: int = 0
+) -> list[SliceRange]:
+    """Ranges of about ``per_partition`` slices (more, where ``max_partitions`` asks for it) covering ``[start, end)``
+    per location, disjoint: locations with the same span share ranges, or a location's span is cut."""
+    hours = max(1, int(hours_per_slice))
+    spans: dict[tuple[datetime, datetime], list[tuple[str, float, float]]] = {}
     for loc in locations:
         name = loc["name"]
-        lo = floor_hour(_parse(start.get(name) or initial))
-        hi = floor_hour(_parse(end.get(name) or initial))
-        while lo < hi:
-            nxt = min(lo + step, hi)
-            out.append(Slice(name, loc["latitude"], loc["longitude"], lo.isoformat(), nxt.isoformat()))
-            lo = nxt
+        lo, hi = floor_hour(_parse(start.get(name) or initial)), floor_hour(_parse(end.get(name) or initial))
+        if lo < hi:
+            spans.setdefault((lo, hi), []).append((name, loc["latitude"], loc["longitude"]))
+    count = {span: math.ceil((span[1] - span[0]) / (HOUR * hours)) for span in spans}
+    per = max(1, per_partition)
+    if max_partitions > 0:
+        per = max(per, math.ceil(sum(count[s] * len(locs) for s, locs in spans.items()) / max_partitions))
+    out = []
+    for (lo, hi), locs in spans.items():
+        together = max(1, per // count[lo, hi])
+        step = HOUR * hours * max(1, per if together == 1 else count[lo, hi])
+        for a in range(0, len(locs), together):
+            at = lo
+            while at < hi:
+                out.append(SliceRange(locs[a : a + together], at.isoformat(), min(at + step, hi).isoformat(), hours))
+                at += step
     return out
 
 
+def plan(locations: list[dict], start: dict, end: dict, initial: str, hours_per_slice: int = 1) -> list[Slice]:
+    """Slices of whole hours covering ``[start, end)`` per location, disjoint."""
+    return [s for r in plan_ranges(locations, start, end, initial, hours_per_slice) for s in r.slices()]
+
+
+def advanced(position: dict, target: str, hours_per_slice: int, most: int) -> dict:
+    """``position`` moved towards ``target`` by at most ``most`` slices over all locations, those furthest behind first."""
+    step, goal = HOUR * max(1, hours_per_slice), _parse(target)
+    behind = sorted((at, name) for name, at in position.items() if _parse(at) < goal)
+    slices_each = max(1, most // len(behind)) if behind else 0
+    moved = {name: min(_parse(at) + step * slices_each, goal).isoformat() for at, name in behind[: max(1, most)]}
+    return {**position, **moved}
+
+
 # ------------------------------------------------------------------ fetchers (run on executors)
 def http_fetch(endpoint: dict, part: Slice, max_retries: int, backoff: float, timeout: float = 30.0) -> list[dict]:
     first = _parse(part.start).strftime("%Y-%m-%dT%H:00")
@@ -161,6 +202,8 @@ class _Options:
         self.hours_per_slice = int(o.get("hours_per_slice", 1))
         self.slices_per_partition = int(o.get("slices_per_partition", 1))
         self.max_partitions = int(o.get("max_partitions", 0))
+        self.max_slices = int(o.get("max_slices_per_trigger", MAX_SLICES_PER_TRIGGER))
+        self.position = json.loads(o.get("position") or "{}")
         self.max_retries = int(o.get("max_retries", 3))
         self.backoff = float(o.get("backoff_sec", 1.0))
         self.fetcher = o.get("fetcher", "http")
@@ -172,19 +215,21 @@ class _Options:
         return floor_hour(datetime.now(timezone.utc).replace(tzinfo=None)).isoformat()
 
     def plan(self, start: dict, end: dict) -> list[InputPartition]:
-        slices = plan(self.locations, start, end, self.initial, self.hours_per_slice)
-        per = self.slices_per_partition
-        if self.max_partitions > 0:
-            per = max(per, -(-len(slices) // self.max_partitions))
-        return group_slices(slices, per)
+        return plan_ranges(
+            self.locations, start, end, self.initial, self.hours_per_slice, self.slices_per_partition, self.max_partitions
+        )
 
-    def read(self, part: InputPartition) -> Iterator[tuple]:
+    def read(self, part: SliceRange) -> Iterator[tuple]:
+        if self.fetcher == "none":
+            for name, lat, lon in part.locations:
+                yield name, lat, lon, _parse(part.start), _parse(part.end)
+            return
         source = self.endpoint.get("source", "")
         cache: dict[str, list[dict]] = {}
-        for one in part.slices if isinstance(part, SliceGroup) else [part]:
+        for one in part.slices():
             if self.fetcher == "files":
                 if one.name not in cache:  # a task reads a location's stored responses once
-                    cache[one.name] = file_fetch(self.root, one)
+                    cache = {one.name: file_fetch(self.root, one)}
                 bodies = cache[one.name]
             else:
                 bodies = http_fetch(self.endpoint, one, self.max_retries, self.backoff)
@@ -193,17 +238,22 @@ class _Options:
 
 
 class SlicedStreamReader(DataSourceStreamReader):
+    """Plans from the position: the offset planned last, at first that of the options or the initial one."""
+
     def __init__(self, options: dict):
         self.o = _Options(options)
+        self.position = self.o.position
 
     def initialOffset(self) -> dict:
         return {loc["name"]: self.o.initial for loc in self.o.locations}
 
     def latestOffset(self) -> dict:
-        end = self.o.end_offset()
-        return {loc["name"]: end for loc in self.o.locations}
+        known = self.initialOffset()
+        known.update({name: at for name, at in self.position.items() if name in known})
+        return advanced(known, self.o.end_offset(), self.o.hours_per_slice, self.o.max_slices)
 
     def partitions(self, start: dict, end: dict):
+        self.position = end or {}
         return self.o.plan(start or {}, end or {})
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
@@ -232,7 +282,7 @@ class SlicedSource(DataSource):
         return SOURCE_NAME
 
     def schema(self):
-        return API_SLICE_ROW
+        return RANGE_ROW if (self.options or {}).get("fetcher") == "none" else API_SLICE_ROW
 
     def streamReader(self, schema):
         return SlicedStreamReader(self.options)
@@ -241,6 +291,18 @@ class SlicedSource(DataSource):
         return SlicedBatchReader(self.options)
 
 
+def committed_offset(spark, checkpoint: str) -> dict:
+    """The newest offset in a stream's checkpoint (planned, if its batch did not end); {} without one."""
+    from lakeshift.sources.files import list_names
+
+    batches = [int(name) for name in list_names(spark, f"{checkpoint}/offsets") if name.isdigit()]
+    if not batches:
+        return {}
+    # The file's last line is the source's own offset, as JSON.
+    text = spark.read.text(f"{checkpoint}/offsets/{max(batches)}", wholetext=True).first()[0]
+    return json.loads(text.strip().splitlines()[-1])
+
+
 def register(spark) -> str:
     """Register the source under ``sliced_api``.
 
