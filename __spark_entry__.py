@@ -597,7 +597,7 @@ def q_sliced_stream(spark, sf_dir):
     table = run_sliced_ingest(
         spark, locations, {"url": "", "source": "fixture"}, f"{root}/table", f"{root}/_ckpt",
         start=lo.isoformat(), end=(hi.replace(minute=0, second=0, microsecond=0) + timedelta(hours=1)).isoformat(),
-        hours_per_slice=24, fetcher="files", root=f"{root}/responses",
+        hours_per_slice=24, responses=f"{root}/responses",
     )
     cols = ["source", "time", "temperature", "unit", "location_name", "latitude", "longitude", "elevation",
             "generationtime_ms", "utc_offset_seconds", "timezone", "timezone_abbreviation"]
@@ -622,6 +622,112 @@ def q_cost_monitor_alerts(spark, sf_dir):
     return run_cost_monitor(spark, samples, f"{root}/cost_log")  # the repeated run adds nothing
 
 
+@_register(
+    "scd2_late_batches",
+    _scd2_sql(_EVENTS_FEED_SQL, "user_id", "ts", ["event_type"], ["event_type", "event_id", "value"]),
+)
+def q_scd2_late_batches(spark, sf_dir):
+    """The feed in eight batches that interleave in time (all but the first are late), merged on read."""
+    from lakeshift.streaming import Scd2Sink
+
+    root = _scratch(spark, "scd2_late")
+    feed = fx.table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "event_id", "value")
+    rows = feed.count()
+    sink = Scd2Sink(f"{root}/log", f"{root}/history", ["user_id"], "ts", track=["event_type"], fan_in=3, rebuild_rows=rows // 3)
+    for i in range(8):
+        sink(feed.filter(F.coalesce(F.pmod("event_id", F.lit(8)), F.lit(0)) == i), i)
+    return sink.read(spark)
+
+
+@_register(
+    "scd2_rejects",
+    """SELECT event_id % 2 AS batch_id, count(*) FILTER (WHERE event_id % 101 <> 0 AND ts IS NOT NULL) AS accepted_rows,
+              count(*) FILTER (WHERE event_id % 101 = 0 OR ts IS NULL) AS rejected_rows
+       FROM events WHERE event_id IS NOT NULL GROUP BY 1""",
+)
+def q_scd2_rejects(spark, sf_dir):
+    """Records without a sequence leave the history by the reject table; both add up to the input."""
+    from lakeshift.streaming import Scd2Sink
+    from lakeshift.streaming.scd2_sink import BATCH
+
+    root = _scratch(spark, "scd2_rejects")
+    feed = fx.table(spark, sf_dir, "events").filter("event_id IS NOT NULL").select(
+        "user_id", F.when(F.col("event_id") % 101 != 0, F.col("ts")).alias("ts"), "event_type", "event_id"
+    )
+    sink = Scd2Sink(f"{root}/log", f"{root}/history", ["user_id"], "ts", track=["event_type"])
+    for i in (0, 1):
+        sink(feed.filter(F.col("event_id") % 2 == i), i)
+    sides = sink.records(spark).select(BATCH, F.lit(1).alias("ok")).unionByName(sink.rejected(spark).select(BATCH, F.lit(0).alias("ok")))
+    return sides.groupBy(F.col(BATCH).cast("bigint").alias("batch_id")).agg(
+        F.sum("ok").alias("accepted_rows"), F.sum(1 - F.col("ok")).alias("rejected_rows")
+    )
+
+
+@_register("stream_expectation_log", _ORACLE["expectation_counts"])
+def q_stream_expectation_log(spark, sf_dir):
+    """Expectation counters of a stream of several batches, from the durable log."""
+    from lakeshift.streaming import batch_partitioned_append, expectation_totals, run_to_completion, with_expectations
+
+    root = _scratch(spark, "expectation_log")
+    bronze = fx.raw_events(fx.table(spark, sf_dir, "events"))
+    bronze.write.option("maxRecordsPerFile", fx.RECORDS_PER_FILE).parquet(f"{root}/bronze")
+    stream = spark.readStream.schema(bronze.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/bronze")
+    warn, drop = event_expectations(fx.FIXTURE_VALID_TYPES)
+    handler = with_expectations(batch_partitioned_append(f"{root}/silver"), f"{root}/log", "silver_events", warn, drop)
+    writer = flatten_events(stream).writeStream.foreachBatch(handler).option("checkpointLocation", f"{root}/_checkpoint")
+    run_to_completion(writer.trigger(availableNow=True).start())
+    return expectation_totals(spark, f"{root}/log", "silver_events").drop("batches")
+
+
+@_register(
+    "json_inferred_bronze",
+    """SELECT event_id, ts, user_id, event_type, props, CASE WHEN event_id % 14 = 7 THEN NULL ELSE value END AS value,
+              NULLIF(concat_ws(',', CASE WHEN event_id % 2 = 1 THEN 'added' END,
+                               CASE WHEN event_id % 14 = 7 AND value IS NOT NULL THEN 'value' END), '') AS rescued_keys
+       FROM events WHERE event_id IS NOT NULL""",
+)
+def q_json_inferred_bronze(spark, sf_dir):
+    """JSON drops whose columns the code does not name: types inferred from the first drop and stored; what the
+    second drop adds or mistypes is rescued."""
+    from lakeshift.plans.medallion import ingest_bronze
+    from lakeshift.sources.files import read_stored
+
+    root = _scratch(spark, "json_inferred")
+    events = fx.table(spark, sf_dir, "events").filter("event_id IS NOT NULL")
+    for part in (0, 1):
+        fx.write_plain_drop(events.filter(F.col("event_id") % 2 == part), f"{root}/raw", part)
+        ingest_bronze(spark, f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint", schema_store=f"{root}/_schema")
+    keys = F.array_join(F.array_sort(F.map_keys(F.from_json("_rescued_data", "map<string,string>"))), ",")
+    bronze = read_stored(spark, f"{root}/bronze").withColumn("rescued_keys", keys)
+    inferred = [c for c in bronze.columns if c in events.columns]
+    return bronze.select(*inferred, "rescued_keys").withColumn("ts", F.col("ts").try_cast("timestamp_ntz"))
+
+
+@_register("published_tables", _ORACLE["event_volume"])
+def q_published_tables(spark, sf_dir):
+    """Named tables from end to end: appended, streamed into a partitioned table, published twice, read back."""
+    import uuid
+
+    from lakeshift.plans.medallion import publish_medallion
+    from lakeshift.sinks import append_batch, append_stream_to_table
+    from lakeshift.sources.files import read_stored_stream
+    from lakeshift.streaming import run_to_completion
+
+    root, db = _scratch(spark, "published"), f"lakeshift_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/{db}.db'")
+    events = fx.table(spark, sf_dir, "events")
+    for part in (0, 1):
+        append_batch(events.filter(F.coalesce(F.col("event_id") % 2, F.lit(0)) == part), f"{db}.raw_events")
+        stream = read_stored_stream(spark, f"{db}.raw_events")
+        query = append_stream_to_table(
+            stream, f"{db}.typed_events", f"{root}/_checkpoint", partition_by=["event_type"], query_name=f"{db}_typed", comment="Events by type"
+        )
+        run_to_completion(query)
+        bronze = fx.raw_events(spark.table(f"{db}.typed_events"))
+        publish_medallion(spark, bronze, fx.FIXTURE_VALID_TYPES, fx.FIXTURE_COUNTERS, database=db)
+    return as_naive_timestamps(spark.table(f"{db}.gold_event_volume"))
+
+
 # ---------------------------------------------------------------- training-data operators
 def _register_llm() -> None:
     """Add the queries of the llm subpackage and the pipeline, where these are present."""

@@ -20,16 +20,17 @@ Copies and same-(key, sequence) records are collapsed by an aggregate (partial
 per task, so a hot group of copies shrinks before the shuffle).  Versions are
 found with ``lag`` over windows partitioned by (key, chunk): every key with at
 most ``chunk_rows`` records is one chunk, so the common case is a plain window
-by key.  A *heavy* key is cut into sequence ranges of about ``chunk_rows``
-records each, so a key holding a third of all rows is spread over many tasks.
+by key.  The records of *heavy* keys are range-sorted by (key, sequence) and cut
+where they lie into chunks of at most ``chunk_rows``, so a key holding a third of
+all rows is spread over many tasks however its records crowd in time.
 What crosses a chunk boundary (the previous chunk's last tracked values, the
 version open at the chunk's start, the next change after the chunk) comes from
 a per-(key, chunk) summary with one row per chunk.  Finally a version
 aggregate (partial per task again) keeps each version's last record.
 
-The heavy-key table has at most ``rows / chunk_rows`` entries; one small
-aggregate sizes it first (keys and total chunks) — without heavy keys nothing
-else is needed — and it is stored and broadcast only when its size is under
+The heavy-key table has at most ``rows / chunk_rows`` entries; a feed of more
+than ``chunk_rows`` records is counted by key first (keys and total chunks) —
+without heavy keys nothing else is needed — and the table is stored and broadcast only when its size is under
 ``broadcast_keys``, otherwise joined by a shuffle (AQE splits skewed
 partitions).  On the chunked path the windowed rows are checkpointed
 once, because the chunk summary and the final rows both read them; the summary
@@ -54,15 +55,9 @@ DEFAULT_CHUNK_ROWS = 2_000_000
 DEFAULT_BROADCAST_KEYS = 200_000
 
 
-def _offset(seq_type: T.DataType, later: Column, earlier: Column) -> Column:
-    """Monotone distance ``later - earlier`` as a number (zone-independent)."""
-    if isinstance(seq_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.timestamp_diff("MICROSECOND", earlier, later)
-    if isinstance(seq_type, T.DateType):
-        return F.datediff(later, earlier)
-    if isinstance(seq_type, T.NumericType):
-        return later - earlier
-    raise TypeError(f"unsupported sequence type {seq_type.simpleString()}")
+def _check_sequence(seq_type: T.DataType) -> None:
+    if not isinstance(seq_type, (T.TimestampType, T.TimestampNTZType, T.DateType, T.NumericType)):
+        raise TypeError(f"unsupported sequence type {seq_type.simpleString()}")
 
 
 def _orderable(dt: T.DataType) -> bool:
@@ -118,23 +113,22 @@ def scd2(
     missing = [c for c in track if c not in df.columns]
     if missing:
         raise ValueError(f"tracked columns not in input: {missing}")
-    seq_type = df.schema[seq].dataType
-    _offset(seq_type, F.lit(None), F.lit(None))  # the type is refused here, not only where a key is heavy
+    _check_sequence(df.schema[seq].dataType)
 
     rows = df.filter(F.col(seq).isNotNull())
     recs = collapse_same_sequence(rows, keys, seq, tie_break)
     tracked = F.struct(*[F.col(c) for c in track]) if track else F.struct(F.lit(0))
 
     # --- heavy keys: more than chunk_rows records --------------------------------
-    per_key = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(seq).alias("__lo"), F.max(seq).alias("__hi")
-    )
+    per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     n_chunks = F.ceil(F.col("__n") / F.lit(chunk_rows))
     is_heavy = F.col("__n") > F.lit(chunk_rows)
-    # One small job sizes the heavy-key table: its rows and its total chunks.
-    n_heavy, total_chunks = per_key.agg(
-        F.count_if(is_heavy), F.coalesce(F.sum(F.when(is_heavy, n_chunks)), F.lit(0))
-    ).first()
+    n_heavy = total_chunks = 0
+    if rows.count() > chunk_rows:  # reads the sequence column only; below it no key can be heavy
+        # One small job sizes the heavy-key table: its rows and its total chunks.
+        n_heavy, total_chunks = per_key.agg(
+            F.count_if(is_heavy), F.coalesce(F.sum(F.when(is_heavy, n_chunks)), F.lit(0))
+        ).first()
 
     if n_heavy == 0:
         # Every key fits one task: plain window by key.
@@ -146,22 +140,20 @@ def scd2(
             F.min(F.when(F.col("__chg"), F.col(seq))).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("__ve"),
         )
     else:
-        heavy = per_key.filter(is_heavy).select(
-            *keys,
-            F.col("__lo"),
-            (F.floor(_offset(seq_type, F.col("__hi"), F.col("__lo")) / n_chunks) + F.lit(1)).alias("__width"),
-        )
-        # Stored once: the join below reads it (broadcast or shuffled).
-        ensure_checkpoint_dir(df.sparkSession)
-        heavy = heavy.checkpoint(eager=True)
+        # Stored once: both joins below read it (broadcast or shuffled).
+        spark = df.sparkSession
+        ensure_checkpoint_dir(spark)
+        heavy = per_key.filter(is_heavy).select(*keys).checkpoint(eager=True)
         side = F.broadcast(heavy) if n_heavy <= broadcast_keys else heavy
-        chunked = recs.join(side, keys, "left").select(
-            *recs.columns,
-            F.col("__lo").isNotNull().alias("__heavy"),
-            F.coalesce(F.floor(_offset(seq_type, F.col(seq), F.col("__lo")) / F.col("__width")), F.lit(0)).alias(
-                "__chunk"
-            ),
-        )
+        light = recs.join(side, keys, "left_anti").withColumns({"__heavy": F.lit(False), "__chunk": F.lit(0).cast("long")})
+        lined = recs.join(side, keys, "left_semi").repartitionByRange(*keys, seq).sortWithinPartitions(*keys, seq)
+        # The row's place: its range partition in the upper bits, its position there in the lower 33.
+        lined = lined.withColumn("__at", F.monotonically_increasing_id())
+        low = F.lit((1 << 33) - 1)
+        chunk = F.col("__at") - F.col("__at").bitwiseAND(low) + F.floor(F.col("__at").bitwiseAND(low) / F.lit(chunk_rows))
+        chunked = light.unionByName(lined.select(*recs.columns, F.lit(True).alias("__heavy"), chunk.cast("long").alias("__chunk")))
+        # A range boundary within a key cuts one chunk more.
+        total_chunks += n_heavy + int(spark.conf.get("spark.sql.shuffle.partitions"))
         wc = Window.partitionBy(*keys, "__chunk").orderBy(seq)
         inner = chunked.select(
             "*",

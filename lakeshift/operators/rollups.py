@@ -88,11 +88,13 @@ def top_k_per_group(
     ``order_col`` then ``tie_break``), again with a partial group limit before
     the exchange.  NULL values sort last.
 
-    ``materialize``: the tie-aware plan reads ``df`` twice (levels and rows), and
-    column pruning makes the two reads differ, so Spark cannot reuse one for the
-    other.  When ``df`` is expensive (an aggregate over a large table), set it:
-    ``df`` is checkpointed once to the cluster's checkpoint folder and both
-    branches read the stored copy (also cutting lineage).
+    The tie-aware plan uses ``df`` twice (levels and rows).  Column pruning would
+    make the two differ, so both pass a filter that needs every column: the same
+    sub-plan twice, of which Spark runs the exchange once and reads its output
+    again (``ReusedExchange``).  An aggregate is scanned and aggregated a single
+    time, and nothing runs while the plan is built.  ``materialize`` checkpoints
+    ``df`` instead: for an input whose plan does not end in an exchange, or whose
+    lineage is to be cut.
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by)
     value = F.col(order_col)
@@ -107,6 +109,9 @@ def top_k_per_group(
 
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
+    else:
+        # True of every row, but not to the optimizer.
+        df = df.filter(F.xxhash64(*df.columns) >= F.lit(-(1 << 63)))
     lv = F.col("__level")
     levels = df.select(*keys, value.alias("__level")).distinct()
     w = Window.partitionBy(*keys).orderBy(lv.desc_nulls_last() if descending else lv.asc_nulls_last())
@@ -132,12 +137,11 @@ def top_entities(
     k: int = TOP_K,
     rank_by: str = "total_events",
     ties: bool = True,
-    materialize: bool = True,
+    materialize: bool = False,
 ) -> DataFrame:
     """Gold top-entities table: ``entity_activity`` then the per-bucket top-K.
 
-    The activity aggregate is materialised once (see ``top_k_per_group``), so
-    silver is scanned and aggregated a single time."""
+    Lazy; silver is scanned and aggregated a single time (see ``top_k_per_group``)."""
     activity = entity_activity(silver, entity=entity, counters=counters, unit=unit)
     return top_k_per_group(activity, f"event_{unit}", rank_by, k=k, ties=ties, materialize=materialize)
 

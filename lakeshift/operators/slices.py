@@ -30,13 +30,16 @@ def plan_slices(
     )
 
 
-def explode_hourly(responses: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+def explode_hourly(
+    responses: DataFrame, body_col: str = "body", keep: tuple[str, ...] = (), local_time: bool = False
+) -> DataFrame:
     """API JSON text -> one row per hourly element.
 
     The body holds ``hourly.time`` / ``hourly.temperature_2m`` as parallel arrays
     and scalars (unit, coordinates, elevation, zone) that apply to every element.
     ``arrays_zip`` + ``inline`` keep NULL elements and pad the shorter array.
-    ``keep`` columns of the input are carried.
+    ``keep`` columns of the input are carried.  ``local_time`` leaves ``time`` the
+    response's wall clock (``timestamp_ntz``), else it is read in the session zone.
     """
     parsed = responses.select(*keep, F.from_json(F.col(body_col), API_RESPONSE).alias("__b"))
     b = F.col("__b")
@@ -54,7 +57,7 @@ def explode_hourly(responses: DataFrame, body_col: str = "body", keep: tuple[str
         b["timezone_abbreviation"].alias("timezone_abbreviation"),
     ).select(
         *keep,
-        F.try_to_timestamp(F.col("t")).alias("time"),
+        (F.col("t").try_cast("timestamp_ntz") if local_time else F.try_to_timestamp(F.col("t"))).alias("time"),
         F.col("v").alias("temperature"),
         "unit",
         "latitude",

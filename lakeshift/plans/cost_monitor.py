@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift.functions.costs import IDLE_DBU_THRESHOLD
 from lakeshift.operators.costs import cost_log, idle_alerts
+from lakeshift.session import ensure_checkpoint_dir
 from lakeshift.sinks import append_batch
 from lakeshift.sources.files import path_exists
 
@@ -24,18 +26,29 @@ def run_cost_monitor(
     time and cluster) are not appended again, so a repeated run changes nothing; a
     sample that occurs several times in ``samples`` itself is kept as often."""
     rows = cost_log(samples, threshold).withColumn(LOG_MONTH, F.substring("run_timestamp", 1, 7))
-    first, last = rows.agg(F.min(LOG_MONTH), F.max(LOG_MONTH)).first()
-    months = F.col(LOG_MONTH).between(F.lit(first), F.lit(last)) | F.col(LOG_MONTH).isNull()
-
-    def logged() -> DataFrame:
-        return spark.read.schema(rows.schema).parquet(log_path).filter(months)
-
-    new = rows
-    if path_exists(spark, log_path):
-        new = _matching(rows, logged(), [LOG_MONTH, "run_id", "run_timestamp", "cluster_id"], "left_anti")
-    # a month is written by few tasks, a large one by several (split by AQE)
-    append_batch(new.hint("rebalance", F.col(LOG_MONTH)), log_path, [LOG_MONTH])
-    return idle_alerts(_matching(logged(), rows, [LOG_MONTH, "run_id"], "left_semi"))
+    rows.persist(StorageLevel.MEMORY_AND_DISK)  # its months and runs, then the append: samples are evaluated once
+    try:
+        runs = _stored_runs(rows)
+        first, last = runs.agg(F.min(LOG_MONTH), F.max(LOG_MONTH)).first()
+        months = F.col(LOG_MONTH).between(F.lit(first), F.lit(last)) | F.col(LOG_MONTH).isNull()
+
+        def logged() -> DataFrame:
+            return spark.read.schema(rows.schema).parquet(log_path).filter(months)
+
+        new = rows
+        if path_exists(spark, log_path):
+            new = _matching(rows, logged(), [LOG_MONTH, "run_id", "run_timestamp", "cluster_id"], "left_anti")
+        # a month is written by few tasks, a large one by several (split by AQE)
+        append_batch(new.hint("rebalance", F.col(LOG_MONTH)), log_path, [LOG_MONTH])
+    finally:
+        rows.unpersist()
+    return idle_alerts(_matching(logged(), runs, [LOG_MONTH, "run_id"], "left_semi"))
+
+
+def _stored_runs(rows: DataFrame) -> DataFrame:
+    """The (month, run) pairs of ``rows``, stored: the alerts returned later ask for them again."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    return rows.select(LOG_MONTH, "run_id").distinct().checkpoint()
 
 
 def _matching(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:

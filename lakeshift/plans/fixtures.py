@@ -209,6 +209,18 @@ def write_event_drop(events: DataFrame, folder: str, mutate: bool = True) -> str
     return folder
 
 
+def write_plain_drop(rows: DataFrame, folder: str, part: int) -> None:
+    """Rows of any table as JSON lines (times as text).  Part 1 carries an unknown key ``added``, and every 14th
+    (7, 21, ...) a mistyped ``value``."""
+    columns = [F.col(c).cast("string").alias(c) if t.startswith("timestamp") else F.col(c) for c, t in rows.dtypes]
+    more = [F.lit(1).alias("added")] if part else []
+    line = F.to_json(F.struct(*columns, *more))
+    if part:
+        line = F.when(F.col("event_id") % 14 == 7, F.regexp_replace(line, '"value":[^,}]+', '"value":"n/a"')).otherwise(line)
+    writer = rows.select(line.alias("value")).write.option("maxRecordsPerFile", RECORDS_PER_FILE)
+    writer.mode("append" if part else "overwrite").text(folder)
+
+
 def write_customer_csv_drop(customer: DataFrame, folder: str) -> str:
     """Three CSV batches whose headers differ: (id, name, balance); + segment;
     reordered + nation."""

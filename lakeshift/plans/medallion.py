@@ -9,11 +9,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.operators.clean import VALID_EVENT_TYPES, silver_events
-from lakeshift.operators.rollups import REPO_COUNTERS, TOP_K, event_volume, top_entities
+from lakeshift.operators.clean import VALID_EVENT_TYPES, event_expectations, flatten_events, silver_events
+from lakeshift.operators.expectations import expect
+from lakeshift.operators.rollups import REPO_COUNTERS, TOP_K, entity_activity, event_volume, top_entities, top_k_per_group
 from lakeshift.schemas import RAW_EVENT
-from lakeshift.sinks import append_stream, publish_table
+from lakeshift.sinks import append_stream, overwrite_partitions, publish_table
 from lakeshift.sources.files import read_json_stream, read_stored
+from lakeshift.sources.json_schema import infer_or_load_json_schema
+from lakeshift.streaming.expectation_log import write_counts
 from lakeshift.streaming.streams import run_to_completion
 
 
@@ -31,9 +34,16 @@ class MedallionPaths:
 
 
 def ingest_bronze(
-    spark: SparkSession, raw: str, bronze: str, checkpoint: str, max_files_per_trigger=None, schema=RAW_EVENT
+    spark: SparkSession, raw: str, bronze: str, checkpoint: str, max_files_per_trigger=None, schema=RAW_EVENT,
+    schema_store: str | None = None,
 ) -> None:
-    """Raw JSON-lines directory of any ``schema`` -> bronze parquet (append, exactly-once)."""
+    """Raw JSON-lines directory of any ``schema`` -> bronze parquet (append, exactly-once).
+
+    With ``schema_store`` the schema is the one stored there, inferred from the
+    first drop (see ``sources.json_schema``), and ``schema`` is not used; later
+    unknown keys and mistyped values are rescued."""
+    if schema_store:
+        schema = infer_or_load_json_schema(spark, raw, schema_store)
     lines = read_json_stream(spark, raw, schema, max_files_per_trigger=max_files_per_trigger)
     run_to_completion(append_stream(lines, bronze, checkpoint))
 
@@ -105,6 +115,13 @@ def publish_medallion(
 
 
 # ------------------------------------------------------------------ incremental variant
+BATCH = "__batch"
+
+
+def _summed(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partial counts of several batches added up per key."""
+    counts = [c for c in parts.columns if c not in (*keys, EVENT_DATE, BATCH)]
+    return parts.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c) for c in counts])
 
 
 def run_medallion_incremental(
@@ -115,43 +132,63 @@ def run_medallion_incremental(
     counters=REPO_COUNTERS,
     k: int = TOP_K,
     max_files_per_trigger: int | None = None,
+    expectation_log: str | None = None,
 ) -> None:
     """Hourly runs that touch only new data.
 
     * bronze: new raw files appended (as ``run_medallion``);
-    * silver: new bronze files streamed through ``silver_events`` and appended,
-      partitioned by ``event_date``;
-    * golds: for every silver micro-batch, the event dates it touched are
-      recomputed from silver (partition-pruned read) and replace only those
-      gold partitions (dynamic overwrite).  Exact, because a gold row depends
-      only on the events of its own hour.  A replayed batch rewrites the same
-      partitions with the same content.
+    * silver: new bronze files flattened and validated batch by batch and stored
+      partitioned by ``event_date``; with ``expectation_log`` every batch's
+      expectation counters are stored there (query ``silver_events``);
+    * partial counts: every batch stores its own counts per (hour, repository)
+      and (hour, type), partitioned by ``event_date``: counts add up, so no
+      silver is read again;
+    * golds: the dates a batch touched are added up from the partial counts
+      (partition-pruned read), their top-K is redone and replaces those gold
+      partitions (dynamic overwrite).  Exact, because a gold row depends only on
+      the counts of its own hour.
+
+    A replayed batch replaces its silver, counters and partial counts, and its
+    dates' golds come out the same.
     """
-    from lakeshift.sinks import overwrite_partitions
-    from lakeshift.streaming.streams import run_to_completion as done
-
     ingest_bronze(spark, paths.raw, paths.bronze, paths.bronze_checkpoint, max_files_per_trigger)
-    bronze_schema = spark.read.parquet(paths.bronze).schema
-    reader = spark.readStream.schema(bronze_schema)
+    reader = spark.readStream.schema(spark.read.parquet(paths.bronze).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    silver = silver_events(reader.parquet(paths.bronze), valid_types)
-    silver = silver.withColumn(EVENT_DATE, F.to_date("event_time"))
+    warn, drop = event_expectations(valid_types)
+
+    def golds(path: str, delta: DataFrame, dates: list, keys: list[str]) -> DataFrame:
+        """Counts of ``dates`` over all batches, this one's (``delta``) just stored."""
+        return _summed(spark.read.schema(delta.schema).parquet(path).filter(F.col(EVENT_DATE).isin(dates)), keys)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)  # written, then scanned for its dates
+        seen = Observation()
+        silver = expect(flatten_events(batch), warn, drop, seen).withColumn(EVENT_DATE, F.to_date("event_time"))
+        silver = silver.persist(StorageLevel.MEMORY_AND_DISK)  # stored, then counted twice
         try:
-            overwrite_partitions(batch.withColumn("__batch", F.lit(batch_id)), paths.silver, [EVENT_DATE, "__batch"])
+            overwrite_partitions(silver.withColumn(BATCH, F.lit(batch_id)), paths.silver, [EVENT_DATE, BATCH])
+            if expectation_log:
+                write_counts(spark, expectation_log, SILVER_TABLE, batch_id, seen.get, warn, drop)
+            deltas = {}
+            for path, delta in (
+                (f"{paths.gold_top}_counts", entity_activity(silver, "repo_name", counters, "hour")),
+                (f"{paths.gold_volume}_counts", event_volume(silver)),
+            ):
+                delta = delta.withColumns({EVENT_DATE: F.to_date("event_hour"), BATCH: F.lit(batch_id)})
+                overwrite_partitions(delta, path, [EVENT_DATE, BATCH])
+                deltas[path] = delta
             # Touched dates: at most one row per day of the batch reaches the driver.
-            dates = [r[0] for r in batch.select(EVENT_DATE).distinct().collect() if r[0] is not None]
+            dates = [r[0] for r in silver.select(EVENT_DATE).distinct().collect()]
         finally:
-            batch.unpersist()
+            silver.unpersist()
         if not dates:
             return
-        touched = spark.read.parquet(paths.silver).filter(F.col(EVENT_DATE).isin(dates)).drop("__batch")
-        top, volume = build_golds(touched, k, counters)
-        overwrite_partitions(top.withColumn(EVENT_DATE, F.to_date("event_hour")), paths.gold_top, [EVENT_DATE])
-        overwrite_partitions(volume.withColumn(EVENT_DATE, F.to_date("event_hour")), paths.gold_volume, [EVENT_DATE])
-
-    q = silver.writeStream.foreachBatch(publish).option("checkpointLocation", silver_checkpoint)
-    done(q.trigger(availableNow=True).start())
+        (top_path, top_delta), (volume_path, volume_delta) = deltas.items()
+        activity = golds(top_path, top_delta, dates, ["event_hour", "repo_name"])
+        top = top_k_per_group(activity, "event_hour", "total_events", k=k)
+        volume = golds(volume_path, volume_delta, dates, ["event_hour", "event_type"]).orderBy("event_hour", "event_type")
+        for gold, path in ((top, paths.gold_top), (volume, paths.gold_volume)):
+            overwrite_partitions(gold.withColumn(EVENT_DATE, F.to_date("event_hour")), path, [EVENT_DATE])
+
+    query = reader.parquet(paths.bronze).writeStream.foreachBatch(publish).option("checkpointLocation", silver_checkpoint)
+    run_to_completion(query.trigger(availableNow=True).start())

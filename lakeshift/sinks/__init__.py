@@ -8,6 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+# Between a published dataset's name and the number of a snapshot of it.
+_SNAPSHOT = "__snapshot_"
+
 
 def _stream_writer(df: DataFrame, checkpoint: str, partition_by: Sequence[str] | None, query_name: str | None, fmt: str):
     w = (
@@ -53,7 +56,7 @@ def append_stream_to_table(
     optionally with a table comment (a published streaming dataset)."""
     query = _stream_writer(df, checkpoint, partition_by, query_name, fmt).toTable(table)
     if comment:
-        df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{comment.replace(chr(39), chr(39) * 2)}'")
+        df.sparkSession.sql(f"COMMENT ON TABLE {table} IS {_literal(comment)}")
     return query
 
 
@@ -68,6 +71,20 @@ def append_batch(df: DataFrame, target: str, partition_by: Sequence[str] | None
         w.saveAsTable(target)
 
 
+def _literal(text: str) -> str:
+    """A SQL string literal of ``text``."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def snapshots(spark: SparkSession, name: str) -> list[str]:
+    """The stored snapshots of a published dataset, oldest first (full names)."""
+    database, _, short = name.rpartition(".")
+    tables = spark.catalog.listTables(database or None)
+    prefix = f"{short}{_SNAPSHOT}".lower()
+    found = [t.name for t in tables if t.name.lower().startswith(prefix) and t.name[len(prefix) :].isdigit()]
+    return [f"{database}.{t}" if database else t for t in sorted(found, key=lambda t: int(t[len(prefix) :]))]
+
+
 def publish_table(
     spark: SparkSession,
     df: DataFrame,
@@ -76,18 +93,39 @@ def publish_table(
     properties: Mapping[str, str] | None = None,
     partition_by: Sequence[str] | None = None,
     fmt: str = "parquet",
+    keep: int = 2,
 ) -> None:
-    """Materialise a dataset as a catalog table (full refresh), then set its
-    comment and table properties."""
-    w = df.write.mode("overwrite").format(fmt)
+    """Materialise a dataset under a catalog name (full refresh) with its comment and table properties.
+
+    The rows go to a new snapshot table; the name is a view over the newest one
+    and is moved there by one change of the catalog, after the snapshot is whole.
+    A reader sees the old dataset or the new one, and a refresh that dies leaves
+    the old one.  ``keep`` snapshots stay (the current one and those that running
+    readers may have opened); older ones and the remains of a dead refresh that
+    lie before them are dropped.  A plain table of that name becomes the first
+    snapshot."""
+    exists = spark.catalog.tableExists(name)
+    if exists and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}{_SNAPSHOT}0")
+        exists = False
+    known = snapshots(spark, name)
+    number = int(known[-1].rpartition(_SNAPSHOT)[2]) + 1 if known else 1
+    snapshot = f"{name}{_SNAPSHOT}{number}"
+    w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.saveAsTable(name)
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {name} IS '{comment.replace(chr(39), chr(39) * 2)}'")
-    if properties:
-        props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
+    w.saveAsTable(snapshot)
+    props = {"snapshot": str(number), **(properties or {})}
+    listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in props.items())
+    if exists:
+        spark.sql(f"ALTER VIEW {name} AS SELECT * FROM {snapshot}")
+        about = f", 'comment' = {_literal(comment)}" if comment else ""
+        spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ({listed}{about})")
+    else:
+        about = f"COMMENT {_literal(comment)} " if comment else ""
+        spark.sql(f"CREATE VIEW {name} {about}TBLPROPERTIES ({listed}) AS SELECT * FROM {snapshot}")
+    for old in snapshots(spark, name)[:-keep]:
+        spark.sql(f"DROP TABLE {old}")
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
