@@ -16,11 +16,12 @@ the shingles of either; 0.8 or more is a link.
 No group is compared all with all.  Equal word sequences are one
 representative first.  Each bucket then compares its members with one hub (the
 member first in one order of all texts, so the buckets of a group share hubs);
-where this leaves a bucket with several classes, members of different
-classes are compared if a bound allows it: a text cannot be linked beyond the
-share of its shingles that any other open text holds (exact).  A linked pair
-agrees in at least ``FEWEST`` values but with a probability below 0.001, and
-pairs are sorted out by that before their texts are fetched.
+a linked pair agrees in at least ``FEWEST`` values but with a probability below
+0.001, and pairs with the hub are sorted out by that before their texts are
+fetched.  Where this leaves a hub with members of several classes, these are
+compared by their differences from the hub's text: linked ones share so many
+differences that they meet in a short prefix of their rarest ones (exact; near
+copies that differ in places of their own do not meet).
 
 Words are split at white space and compared in lower case (A-Z).  Defined
 cases: a null text counts as empty; all texts without words are one class; a
@@ -38,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeshift.llm import textnum
@@ -198,20 +199,79 @@ def verified(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
     return pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").mapInArrow(_linked, "a long, b long")
 
 
-def _open_pairs(members: DataFrame, comps: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Pairs of different classes in one bucket that the bounds leave, each once."""
-    own = members.join(comps, F.col("rep") == F.col("node"), "left").select("value", "rep", F.coalesce("comp", "rep").alias("comp"))
-    several = own.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("value")
-    open_ = stored(own.join(several, "value", "left_semi"), "open-members")
-    texts = among(sketched, open_.select("rep")).select(F.col("doc_row").alias("rep"), "n", "kind0", "kind1", "shingles")
-    each = texts.select("rep", F.explode("shingles").alias("shingle"))
-    again = each.groupBy("shingle").agg(F.count("*").alias("c")).filter("c > 1").select("shingle")
-    held = each.join(again, "shingle", "left_semi").groupBy("rep").agg(F.count("*").alias("held"))
-    fit = stored(
-        texts.select("rep", "n", "kind0", "kind1").join(held, "rep").filter(F.col("held") >= SIMILARITY * F.col("n")), "open-texts"
+def _open_entries(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """(hub, rep, comp, hub_comp) of the hubs whose members are of several classes."""
+    own = members.select("hub", "rep").distinct().join(comps, F.col("rep") == F.col("node"), "left")
+    own = own.select("hub", "rep", F.coalesce("comp", "rep").alias("comp"))
+    several = own.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.col("rep") == F.col("hub"), F.col("comp"))).alias("hub_comp"))
+    return stored(own.join(several.filter("lo < hi").select("hub", "hub_comp"), "hub"), "open-entries")
+
+
+def _differences(entries: DataFrame, texts: DataFrame) -> DataFrame:
+    """``entries`` with their differences from the hub's text (``diff``: shingles of one text and not of the other, told
+    apart by which) and the numbers that bound a link: two linked members share at least q + q' - r differences.
+
+    Members x and y of a hub of r shingles lack l and l' of them.  They have r - l - l' shingles in common, plus
+    every difference that they share; a link asks for s / (1 + s) of both texts' shingles in common.
+    """
+    x = texts.select("rep", "n", F.col("shingles").alias("x"))
+    h = texts.select(F.col("rep").alias("hub"), F.col("shingles").alias("h"))
+    both = entries.join(x, "rep").join(h, "hub")
+    lacks, adds = F.array_except("h", "x"), F.array_except("x", "h")
+    of = lambda a, k: F.transform(a, lambda s: s.cast("long") * 2 + k)
+    share = SIMILARITY / (1 + SIMILARITY)
+    return both.select(
+        "hub", "rep", "comp", "hub_comp",
+        F.concat(of(lacks, 0), of(adds, 1)).alias("diff"),
+        (F.size(lacks) + share * F.col("n")).alias("q"),
+        (share * F.size(F.array_distinct("h"))).alias("q_hub"),
+        F.size(F.array_distinct("h")).alias("r"),
+    )
+
+
+def _overlapping(entries: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different classes and one hub whose differences from it may overlap as much as a link asks.
+
+    A prefix join: differences are ordered from rare to frequent; two sets of d and d' elements with at least
+    ``need`` in common share one among the first d - need + 1 of either.  The first that they share leaves
+    enough behind it.  Members of the hub's own class and others bound ``need`` by the least q of the other side.
+    """
+    least = entries.filter("comp <> hub_comp").groupBy("hub").agg(F.min("q").alias("q_least"))
+    sized = entries.join(least, "hub").withColumn("d", F.size("diff"))
+    need = lambda q: F.ceil(F.col("q") + F.col(q) - F.col("r") - 1e-9)
+    others = F.col("comp") != F.col("hub_comp")
+    sized = sized.select(
+        "hub", "rep", "comp", "hub_comp", "diff", "q", "r", "d",
+        (F.col("d") - F.when(others, need("q_hub")).otherwise(need("q_least")) + 1).alias("to_own"),
+        F.when(others, F.col("d") - need("q_least") + 1).alias("to_others"),
     )
-    rows = open_.join(fit, "rep")
-    side = lambda s: rows.select(*[F.col(c).alias(f"{c}_{s}") for c in ("value", "rep", "comp", "n", "held", "kind0", "kind1")])
+    each = stored(sized.select("hub", "rep", F.explode("diff").alias("token")), "open-differences")
+    held = each.groupBy("hub", "token").agg(F.count("*").alias("holders")).filter("holders > 1")
+    ranks = Window.partitionBy("hub", "rep")
+    shared = each.join(held, ["hub", "token"]).withColumn("place", F.row_number().over(ranks.orderBy("holders", "token")))
+    shared = shared.withColumn("held", F.count("*").over(ranks))
+    # Differences that no other member has come first.
+    placed = shared.join(sized.drop("diff"), ["hub", "rep"]).withColumn("place", F.col("place") + F.col("d") - F.col("held"))
+    placed = stored(placed.filter(F.col("place") <= F.greatest("to_own", "to_others")).drop("held", "holders"), "open-prefixes")
+    side = lambda rows, s: rows.select("hub", "token", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "comp", "q", "d", "place")], *(["r"] if s == "x" else []))
+    own = placed.filter("comp = hub_comp AND place <= to_own")
+    foreign = placed.filter("comp <> hub_comp")
+    left = F.col("q_x") + F.col("q_y") - F.col("r") - 1e-9 <= 1 + F.least(F.col("d_x") - F.col("place_x"), F.col("d_y") - F.col("place_y"))
+    pairs = [
+        side(foreign.filter("place <= to_own"), "x").join(side(own, "y"), ["hub", "token"]).filter(left),
+        side(foreign.filter("place <= to_others"), "x").join(side(foreign.filter("place <= to_others"), "y"), ["hub", "token"]).filter(
+            (F.col("rep_x") < F.col("rep_y")) & (F.col("comp_x") != F.col("comp_y")) & left
+        ),
+    ]
+    ends = [p.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")) for p in pairs]
+    return ends[0].unionByName(ends[1]).distinct()
+
+
+def _bucket_pairs(loose: DataFrame, members: DataFrame, comps: DataFrame, fit: DataFrame) -> DataFrame:
+    """Pairs of different classes in one bucket, one end in ``loose`` (rep), that the sketches' agreement leaves."""
+    own = members.join(comps, F.col("rep") == F.col("node"), "left").select("value", "rep", F.coalesce("comp", "rep").alias("comp"))
+    rows = own.join(fit, "rep")
+    side = lambda rows, s: rows.select(*[F.col(c).alias(f"{c}_{s}") for c in ("value", "rep", "comp", "n", "held", "kind0", "kind1")])
     common = F.least("held_x", "held_y")
     agree = _agreements("_x", "_y")
     first = [
@@ -220,21 +280,46 @@ def _open_pairs(members: DataFrame, comps: DataFrame, sketched: DataFrame) -> Da
     ]
     # A pair is taken in the first bucket that it shares.
     return (
-        side("x")
+        side(rows.join(loose, "rep", "left_semi"), "x")
         .join(
-            side("y"),
+            side(rows, "y"),
             (F.col("value_x") == F.col("value_y"))
-            & (F.col("rep_x") < F.col("rep_y"))
             & (F.col("comp_x") != F.col("comp_y"))
             & (common >= SIMILARITY * (F.col("n_x") + F.col("n_y") - common))
             & (first[0] | first[1])
             & _enough(agree),
         )
-        .select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b"))
+        .select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b"))
         .distinct()
     )
 
 
+def _open_pairs(members: DataFrame, comps: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Pairs of different classes of one hub that the bounds leave, each once.
+
+    A text whose shingles other open texts hold too rarely is out first.  The
+    others are compared by their differences from the hub (``_overlapping``),
+    exactly and without a pair per two members.  A text as similar to the hub as a
+    link asks and yet not linked to it (moved passages) has no such bound: its
+    pairs are those of its buckets.
+    """
+    open_ = _open_entries(members, comps)
+    texts = stored(among(sketched, open_.select("rep")).select(F.col("doc_row").alias("rep"), "n", "kind0", "kind1", "shingles"), "open-texts")
+    each = texts.select("rep", F.explode("shingles").alias("shingle"))
+    again = each.groupBy("shingle").agg(F.count("*").alias("c")).filter("c > 1").select("shingle")
+    held = each.join(again, "shingle", "left_semi").groupBy("rep").agg(F.count("*").alias("held"))
+    fit = stored(texts.select("rep", "n", "kind0", "kind1").join(held, "rep").filter(F.col("held") >= SIMILARITY * F.col("n")), "open-fit")
+    kept = open_.join(fit.select("rep"), "rep", "left_semi")
+    several = kept.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("hub")
+    entries = stored(_differences(kept.join(several, "hub", "left_semi"), texts), "open-members")
+    loose = (F.col("comp") != F.col("hub_comp")) & (F.col("q") + F.col("q_hub") - F.col("r") <= 1e-9)
+    pairs = _overlapping(entries.filter(~loose))
+    moved = stored(entries.filter(loose).select("rep").distinct(), "open-moved")
+    if moved.limit(1).count():
+        pairs = pairs.unionByName(_bucket_pairs(moved, members, comps, fit)).distinct()
+    return pairs
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_row, doc_id, class_row) for ``docs`` (doc_row, doc_id, text): rows of one class have one ``class_row``."""
     ship_package(docs.sparkSession)
@@ -244,7 +329,6 @@ def classes(docs: DataFrame) -> DataFrame:
     values = (
         among(sketched, groups.select("rep"))
         .select(F.col("doc_row").alias("rep"), F.explode(F.concat(F.coalesce("kind0", F.array()), F.coalesce("kind1", F.array()))).alias("value"))
-        .repartition("value")
     )
     hubs = (
         values.groupBy("value")
