@@ -22,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import packed, stored, text_or_empty, unpacked
+from lakeshift.llm.common import stored, temporary, unpacked
+from lakeshift.llm.rows import positioned
 
 BITS = 8  # address bits per round
 CELLS = 1 << BITS
@@ -32,7 +33,7 @@ BROADCAST_CELLS = 100_000
 
 
 def n_bytes(column: str = "text") -> Column:
-    return F.octet_length(text_or_empty(column)).cast("long")
+    return F.octet_length(F.coalesce(F.col(column), F.lit(""))).cast("long")
 
 
 def addressed(doc_id: Column, row_id: Column) -> list[Column]:
@@ -79,6 +80,7 @@ class Directory:
             cells = stored(
                 split_round(pending.select(path(level).alias("path"), cell(level).alias("cell"), "n_bytes"), limit),
                 f"shard-cells-{level}",
+                keep=True,
             )
             n, n_open = cells.agg(F.count("*"), F.count_if(F.col("leaf").isNull())).first()
             self.levels.append((cells, n))
@@ -120,17 +122,17 @@ def shard_ids(docs: DataFrame, limit: int) -> DataFrame:
 
 
 def sharded(docs: DataFrame, limit: int) -> DataFrame:
-    """``docs`` with the columns shard, shard_bytes, shard_rows and oversized.
+    """``docs`` with the columns shard, shard_bytes, shard_rows and oversized (its own columns of these names go).
 
-    The documents are stored once with their positions, so that the directory
-    and the final lookup see the same addresses.
+    The directory and the final lookup see the same addresses: those of the ids and of the rows' positions.
     """
-    rows = docs.select(
-        packed(docs), n_bytes().alias("n_bytes"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row_id")
-    )
-    rows = stored(rows.select("doc", "n_bytes", *addressed(F.col("id"), F.col("row_id"))), "shard-docs")
-    directory = Directory(rows.select("n_bytes", "a1", "a2"), limit)
-    return unpacked(directory.assign(rows), docs.columns, extra=directory.columns())
+    whole = positioned(docs, "shard-docs")
+    with temporary(docs.sparkSession):
+        rows = whole.select(n_bytes("doc.text").alias("n_bytes"), *addressed(F.col("doc.doc_id"), F.col("doc_row")))
+        directory = Directory(stored(rows, "shard-rows"), limit)
+    found = directory.assign(whole.select("doc", *addressed(F.col("doc.doc_id"), F.col("doc_row"))))
+    own = ("shard", "shard_bytes", "shard_rows", "oversized")
+    return unpacked(found, [c for c in docs.columns if c.lower() not in own], extra=directory.columns())
 
 
 def write_shards(docs: DataFrame, limit: int, folder: str) -> None:

@@ -43,8 +43,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeshift.llm import textnum
-from lakeshift.llm.common import packed, stored, unpacked
+from lakeshift.llm.common import stored, temporary, unpacked
 from lakeshift.llm.graph import components
+from lakeshift.llm.rows import BROADCAST_BITMAPS, positioned, without
 from lakeshift.session import ship_package
 
 WORDS = 5
@@ -54,10 +55,6 @@ SKETCHES = 40
 KINDS = ((2, 1, 60), (6, 40, 2**62))
 #: Values in which two linked texts agree at least, for each kind.
 FEWEST = (14, 3)
-#: Rows to drop up to this many (8 bytes each) are broadcast, else shuffled.
-BROADCAST_ROWS = 500_000
-#: Bitmaps of row positions up to this many (4 KiB each) are broadcast.
-BROADCAST_BITMAPS = 16_384
 
 _MULTIPLIERS = np.random.default_rng(20_011).integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OCCURRENCE = np.uint64(0x9E3779B97F4A7C15)
@@ -373,7 +370,8 @@ def _keepers(rows: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, class_size, kept) for every row of ``docs``; the class is named by its smallest ``doc_id``."""
-    rows = stored(classes(docs.select(F.monotonically_increasing_id().alias("doc_row"), "doc_id", "text")), "doc-classes")
+    with temporary(docs.sparkSession):
+        rows = stored(classes(docs.select(F.monotonically_increasing_id().alias("doc_row"), "doc_id", "text")), "doc-classes", keep=True)
     keepers = stored(_keepers(rows), "keepers")
     return rows.join(keepers, "class_row").select(
         "doc_id", "class_id", "class_size", (F.col("doc_row") == F.col("keep_row")).alias("kept")
@@ -382,10 +380,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each class, columns as they are."""
-    whole = docs.select(packed(docs), F.monotonically_increasing_id().alias("doc_row"))
-    whole = stored(whole, "near-docs")
-    rows = stored(classes(whole.select("doc_row", "doc.doc_id", "doc.text")), "doc-classes")
-    keepers = stored(_keepers(rows).filter("class_size > 1"), "keepers")
-    drop = stored(rows.join(keepers, "class_row").filter("doc_row <> keep_row").select("doc_row"), "copies")
-    drop = F.broadcast(drop) if drop.count() <= BROADCAST_ROWS else drop
-    return unpacked(whole.join(drop, "doc_row", "left_anti"), docs.columns)
+    whole = positioned(docs, "near-docs")
+    with temporary(docs.sparkSession):
+        rows = stored(classes(whole.select("doc_row", "doc.doc_id", "doc.text")), "doc-classes")
+        keepers = stored(_keepers(rows).filter("class_size > 1"), "keepers")
+        drop = rows.join(keepers, "class_row").filter("doc_row <> keep_row").select("doc_row")
+        unique = without(whole, drop, "copies")
+    return unpacked(unique, docs.columns)

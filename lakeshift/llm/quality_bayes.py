@@ -17,7 +17,8 @@ The labelled sample is bounded: at most ``LABELLED`` rows, chosen by a hash of
 site statistics and the scores cover all documents.
 
 Defined cases: a null text counts as empty; a null host or path is a site of
-its own; labels with a null id or value are not used, several labels of one
+its own; labels with a null id or value are not used, of several texts of a labelled id
+one is learned from; several labels of one
 document count as its worst; without any labels every probability is the
 prior of 1/2 and nothing is rejected; rows repeated with one id are scored
 each; an empty table gives an empty result.
@@ -33,7 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshift.llm import textnum
-from lakeshift.llm.common import packed, stored, unpacked
+from lakeshift.llm.common import stored, temporary, unpacked
+from lakeshift.llm.rows import positioned, without
 from lakeshift.session import ship_package
 
 #: Labelled rows used at most (about).
@@ -191,9 +193,13 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Model:
     spark = docs.sparkSession
     ship_package(spark)
     sample = labelled_sample(labels, bound)
+    # One text a labelled id, so that the sample is bounded in rows too: of several that of the smallest digest.
+    text = F.col("text").cast("string")
     train = stored(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
         .join(F.broadcast(sample), "doc_id")
+        .groupBy("doc_id", *TARGETS)
+        .agg(F.min_by("text", F.coalesce(F.sha2("text", 256), F.lit(""))).alias("text"))
         .select("text", *TARGETS),
         "quality-train",
     )
@@ -274,17 +280,16 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
     return sites.drop(*TARGETS)
 
 
-def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, model: Model | None = None, carry: bool = False) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, model: Model | None = None, row: str = "doc_id") -> DataFrame:
     """Every row of ``docs`` with its probabilities and ``keep``.
 
-    Gives doc_id (with ``carry`` the packed row ``doc`` instead), host, path,
+    Gives doc_id (or the column that ``row`` names), host, path,
     toxic and low (posterior probabilities), their ``*_document`` evidence and
     ``*_path`` means, and keep: neither is more likely than not.
     """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(model or fit(docs, labels))
-    first = packed(docs) if carry else F.col("doc_id").cast("long").alias("doc_id")
-    rows = docs.select(first, host.cast("string").alias("host"), path.cast("string").alias("path"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col(f"`{row}`").cast("long").alias(row), host.cast("string").alias("host"), path.cast("string").alias("path"), F.col("text").cast("string").alias("text"))
     schema = rows.drop("text").schema
     for t in TARGETS:
         schema = schema.add(f"{t}_odds", "double")
@@ -305,4 +310,12 @@ def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, model
 
 def kept(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, columns as they are."""
-    return unpacked(judged(docs, labels, host, path, carry=True).filter("keep"), docs.columns)
+    whole = positioned(docs, "quality-docs")
+    with temporary(docs.sparkSession):
+        row = "doc_row"
+        while row in docs.columns:
+            row += "_"
+        rows = whole.select(F.col("doc_row").alias(row), "doc.*")
+        rejected = judged(rows, labels, host, path, fit(docs, labels), row).filter(~F.col("keep")).select(row)
+        good = without(whole, rejected, "rejected")
+    return unpacked(good, docs.columns)
