@@ -8,15 +8,16 @@ rest.  The document on which the cut falls is taken if at least half of it
 lies within the budget, so a source misses its target by at most half a
 document.
 
-The prefix sum never sorts a source in one task: the key space is divided into
-``2**12`` equal ranges (the keys are uniform), sums per (source, range) are
-prefix-summed, and only the rows of one range are ordered together.
+The prefix sum never sorts a source in one task: all rows are range-sorted by
+source and key, sums per source and range are prefix-summed, and only the rows
+of one range are summed one by one.  A source of any size, and an id that
+repeats any number of times, is spread over ranges.
 
 Defined cases: a null text has no words; a null source is a source of its own,
 last; documents without words are taken zero words; a table without any word
 has targets of 0; rows repeated with the same ``doc_id`` are separate
-documents; ties of the key are broken by ``doc_id`` and size; an empty table
-gives an empty result.
+documents; ties of the key (rows of one id) are broken by size; an empty table
+gives an empty result.  Targets are worked out on one row per source.
 """
 
 from __future__ import annotations
@@ -24,21 +25,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import WORD_PATTERN, packed, stored, text_or_empty, unpacked
+from lakeshift.llm.common import WORD_PATTERN, stored, temporary, unpacked
+from lakeshift.llm.rows import positioned
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
 SEED = "mix-1"
-RANGE_DIGITS = 3  # hex digits of the key that name its range
+#: Sources up to this many (about 150 bytes each) are broadcast, else joined.
+BROADCAST_SOURCES = 100_000
 
 
-def word_count(column: str = "text") -> Column:
-    return F.regexp_count(text_or_empty(column), F.lit(WORD_PATTERN)).cast("long")
+def word_count(text: Column | None = None) -> Column:
+    return F.regexp_count(_text(text), F.lit(WORD_PATTERN)).cast("long")
 
 
-def mix_key() -> Column:
-    return F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+def _text(text: Column | None = None) -> Column:
+    return F.coalesce(F.col("text") if text is None else text, F.lit(""))
+
+
+def mix_key(doc_id: str = "doc_id") -> Column:
+    return F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -85,45 +92,52 @@ def mix_rows(docs: DataFrame, *also: str) -> DataFrame:
     )
 
 
+def lined(rows: DataFrame, *last: str) -> DataFrame:
+    """``rows`` (doc_id, source, size, key) range-sorted by (source, key) and stored, with the range (``part``) and the place in it (``at``).
+
+    Ties of the key (rows of one id) go by size, then by the columns ``last`` (by
+    position without any), so the rows of an id that repeats are spread over
+    ranges, too.
+    """
+    order = [F.col("source").asc_nulls_first(), "key", "size", *(last or ["salt"])]
+    salted = rows.withColumn("salt", F.monotonically_increasing_id())
+    sorted_ = salted.repartitionByRange(*order).sortWithinPartitions(*order).drop("salt").withColumn("at", F.monotonically_increasing_id())
+    return stored(sorted_.withColumns({"part": F.shiftright("at", 33), "at": F.col("at").bitwiseAND(F.lit((1 << 33) - 1))}), "mix-lined")
+
+
 def mixed_sizes(rows: DataFrame, **shares) -> DataFrame:
-    """``rows`` with ``source_size``, ``target`` and ``copies``: how often the mix takes each document."""
-    columns = rows.columns
-    rows = rows.withColumn("range", F.substring("key", 1, RANGE_DIGITS))
-    targets = source_targets(rows, **shares)
-    in_source = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    per_range = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+    """``rows`` (see ``lined``) with ``source_size``, ``target`` and ``copies``: how often the mix takes each document.
+
+    ``until`` is the prefix sum of a source's sizes in the order of the keys:
+    what the ranges before hold of the source (one row per source and range), and
+    a running sum within the range.
+    """
+    columns = [c for c in rows.columns if c not in ("part", "at")]
+    per_range = stored(rows.groupBy("source", "part").agg(F.sum("size").alias("size")), "mix-ranges")
+    targets = source_targets(per_range, **shares)
+    in_source = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ranges = (
-        per_range.withColumn("before_range", F.coalesce(F.sum("range_size").over(in_source), F.lit(0)))
-        .alias("p")
-        .join(targets.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")))
-        .select("p.source", "p.range", "before_range", "source_size", "target", "passes", "budget")
-    )
-    in_range = (
-        Window.partitionBy("source", "range")
-        .orderBy("key", "doc_id", "size")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        per_range.select(F.col("source").alias("of"), F.col("part").alias("range"), F.coalesce(F.sum("size").over(in_source), F.lit(0)).alias("before"))
+        .join(targets, F.col("of").eqNullSafe(F.col("source")))
+        .drop("source")
     )
-    joined = rows.alias("r").join(
-        ranges.alias("g"),
-        F.col("r.source").eqNullSafe(F.col("g.source")) & (F.col("r.range") == F.col("g.range")),
-    )
-    return (
-        joined.select("r.*", "source_size", "target", "passes", "budget", "before_range")
-        .withColumn("until", F.col("before_range") + F.sum("size").over(in_range))
-        .withColumn("extra", F.col("until") - F.col("size") / 2 <= F.col("budget"))
-        .select(
-            *columns,
-            "source_size",
-            "target",
-            (F.col("passes") + (F.col("extra") & (F.col("budget") > 0) & (F.col("size") > 0)).cast("long")).alias("copies"),
-        )
+    in_range = Window.partitionBy("source", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = rows.withColumn("within", F.sum("size").over(in_range)).join(
+        ranges, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("range"))
     )
+    taken = F.col("before") + F.col("within") - F.col("size") / 2 <= F.col("budget")
+    return joined.select(
+        *columns,
+        "source_size",
+        "target",
+        "passes",
+        (taken & (F.col("budget") > 0) & (F.col("size") > 0)).alias("extra"),
+    ).withColumn("copies", F.col("passes") + F.col("extra").cast("long"))
 
 
 def mixed(docs: DataFrame, **shares) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of ``docs``."""
-    rows = stored(mix_rows(docs), "mix-rows")
-    return mixed_sizes(rows, **shares).select(
+    return mixed_sizes(lined(stored(mix_rows(docs), "mix-rows")), **shares).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
 
@@ -131,13 +145,25 @@ def mixed(docs: DataFrame, **shares) -> DataFrame:
 def mixture(docs: DataFrame, **shares) -> DataFrame:
     """The mix itself: every document as often as it is taken, columns as in ``docs``.
 
-    The documents are stored once with their positions, by which the copies
-    that are planned for a row find it again.
+    The documents that a source's rest of its budget takes are the first ones in
+    the order of the keys, so one cut per source tells them; the texts are read
+    once more and not shuffled (beyond ``BROADCAST_SOURCES`` they meet the cuts
+    by a join on the source).
     """
-    whole = stored(docs.select(packed(docs), F.monotonically_increasing_id().alias("row_id")), "mix-docs")
-    slim = mix_rows(whole.select("doc.doc_id", "doc.source", "doc.text", "row_id"), "row_id")
-    plan = mixed_sizes(stored(slim, "mix-rows"), **shares).filter("copies > 0").select("row_id", "copies")
-    taken = whole.join(stored(plan, "mix-plan"), "row_id")
+    whole = positioned(docs, "mix-docs")
+    with temporary(docs.sparkSession):
+        rows = stored(mix_rows(whole.select("doc.doc_id", "doc.source", "doc.text", "doc_row"), "doc_row"), "mix-rows")
+        plan = mixed_sizes(lined(rows, "doc_row"), **shares)
+        last = F.max(F.when(F.col("extra"), F.struct("key", "size", "doc_row"))).alias("last")
+        cuts = stored(plan.groupBy("source").agg(F.max("passes").alias("passes"), last).select(F.col("source").alias("of"), "passes", "last"), "mix-cuts", keep=True)
+    cuts = F.broadcast(cuts) if cuts.count() <= BROADCAST_SOURCES else cuts
+    found = whole.withColumn("of_source", F.col("doc.source").cast("string")).withColumn("key", mix_key("doc.doc_id"))
+    found = found.join(cuts, F.col("of_source").eqNullSafe(F.col("of")))
+    at_cut = F.struct(word_count(F.col("doc.text")).alias("size"), "doc_row") <= F.struct(F.col("last.size").alias("size"), F.col("last.doc_row").alias("doc_row"))
+    extra = F.when(F.col("last").isNull(), F.lit(False)).when(F.col("key") != F.col("last.key"), F.col("key") < F.col("last.key")).otherwise(at_cut)
+    some = _text(F.col("doc.text")).rlike(WORD_PATTERN)
+    copies = F.col("passes") + (extra & some).cast("long")
+    taken = found.select("doc", copies.alias("copies")).filter("copies > 0")
     return unpacked(taken.withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))), docs.columns)
 
 
