@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshift.llm import textnum
-from lakeshift.llm.common import packed, stored, unpacked
+from lakeshift.llm.common import stored, temporary, unpacked
+from lakeshift.llm.rows import positioned, without
 from lakeshift.session import ship_package
 
 #: Words used (1) and ignored (0).  By enumeration some mask fits every run of up to 32 words that meets the rule of 13 words
@@ -42,8 +43,6 @@ MIN_WORDS = 13
 MIN_SHARE = 0.8
 #: The bitmap that excludes hashes no benchmark item has: 2**BITMAP_BITS bits, whatever the benchmark's size.
 BITMAP_BITS = 25
-#: Contaminated rows (8 bytes each) up to this many are broadcast, else shuffled.
-BROADCAST_ROWS = 500_000
 #: Words kept on either side of a document's hits, so that the overlap can be followed to its ends.
 MARGIN = 64
 
@@ -179,16 +178,50 @@ def most_equal(equal: np.ndarray, min_share: float) -> int:
     return int((count - count[first]).max())
 
 
+def _hit_diagonals(hits: tuple, seeds: tuple, n_words: int, n_item: int) -> np.ndarray:
+    """The diagonals (place in the text less place in the item) on which a hit and a seed of equal hash lie."""
+    (hash_, at), (seed, item_at) = hits, seeds
+    order = np.argsort(hash_, kind="stable")
+    hash_, at = hash_[order], at[order]
+    marked = np.zeros(n_words + n_item + 1, bool)
+    lo, hi = np.searchsorted(hash_, seed, "left"), np.searchsorted(hash_, seed, "right")
+    for i, j, q in zip(lo.tolist(), hi.tolist(), item_at.tolist(), strict=True):
+        marked[at[i:j] - q + n_item] = True
+    return np.flatnonzero(marked) - n_item
+
+
+def best_overlap(words: np.ndarray, item: np.ndarray, diagonals: np.ndarray, least: int, min_share: float) -> int:
+    """The most equal words of a run on any of the ``diagonals`` (0: fewer than ``least`` on all)."""
+    equal = np.zeros(len(diagonals), np.int64)
+    for p in range(len(item)):
+        at = diagonals + p
+        inside = (at >= 0) & (at < len(words))
+        equal += inside & (words[np.where(inside, at, 0)] == item[p])
+    best = 0
+    # A run holds no more equal words than its diagonal.
+    for k in np.argsort(-equal, kind="stable"):
+        if equal[k] < least or equal[k] <= best:
+            break
+        d = int(diagonals[k])
+        lo, hi = max(0, -d), min(len(item), len(words) - d)
+        best = max(best, most_equal(words[lo + d : hi + d] == item[lo:hi], min_share))
+    return best if best >= least else 0
+
+
+def _pairs_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for value in column:
+        yield value.values.field("hash").to_numpy(), value.values.field("at").to_numpy().astype(np.int64)
+
+
 def _verified(min_words: int, min_share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, n = [], []
-            words, item, diagonal = batch.column("words"), batch.column("item_words"), batch.column("diagonal").to_pylist()
-            for i, d in enumerate(diagonal):
+            words, item = batch.column("words"), batch.column("item_words")
+            for i, (hits, seeds) in enumerate(zip(_pairs_of(batch.column("hits")), _pairs_of(batch.column("item_seeds")), strict=True)):
                 w, t = words[i].values.to_numpy(), item[i].values.to_numpy()
-                lo, hi = max(0, -d), min(len(t), len(w) - d)
-                equal = most_equal(w[lo + d : hi + d] == t[lo:hi], min_share)
-                if equal >= min(min_words, len(t)):
+                equal = best_overlap(w, t, _hit_diagonals(hits, seeds, len(w), len(t)), min(min_words, len(t)), min_share)
+                if equal:
                     keep.append(i)
                     n.append(equal)
             yield pa.RecordBatch.from_arrays(
@@ -212,16 +245,13 @@ def overlaps(
     slim = docs.select("doc_row", F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = stored(slim.mapInArrow(_regions(shared), REGIONS), "doc-regions")
     regions = found.filter(F.col("start").isNotNull())
-    hits = regions.select("doc_row", "start", F.explode("hits").alias("h")).select("doc_row", "start", "h.hash", F.col("h.at").alias("at"))
-    candidates = (
-        hits.join(seeds, "hash")
-        .select("doc_row", "start", "item_row", (F.col("at") - F.col("item_at")).alias("diagonal"))
-        .distinct()
-    )
+    # Which regions and items have a hash in common; their words are sent once, however many diagonals they meet on.
+    hits = regions.select("doc_row", "start", F.explode(F.array_distinct(F.transform("hits", lambda h: h["hash"]))).alias("hash"))
+    candidates = hits.join(seeds.select("hash", "item_row").distinct(), "hash").select("doc_row", "start", "item_row").distinct()
     laid = (
-        candidates.join(regions.select("doc_row", "start", "words"), ["doc_row", "start"])
-        .join(items.select("item_row", "item_id", F.col("words").alias("item_words")), "item_row")
-        .select("doc_row", "item_id", "diagonal", "words", "item_words")
+        candidates.join(regions.select("doc_row", "start", "words", "hits"), ["doc_row", "start"])
+        .join(items.select("item_row", "item_id", F.col("words").alias("item_words"), F.col("seeds").alias("item_seeds")), "item_row")
+        .select("doc_row", "item_id", "words", "hits", "item_words", "item_seeds")
     )
     verified = laid.mapInArrow(_verified(min_words, min_share), "doc_row long, item_id long, equal_words int")
     return found.filter(F.col("start").isNull()).select("doc_row", "doc_id"), verified
@@ -249,11 +279,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **rule) -> DataFrame:
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **rule) -> DataFrame:
     """The rows of ``docs`` without a verified overlap, columns as they are.
 
-    The documents are stored once with their positions, by which rows are told apart, also those of equal ids.
+    Rows are told apart by their positions, also those of equal ids.
     """
-    whole = docs.select(packed(docs), F.monotonically_increasing_id().alias("doc_row"), F.col("doc_id"), F.col("text"))
-    whole = stored(whole.select("doc", "doc_row", "doc_id"), "decontam-docs")
-    slim = whole.select("doc_row", "doc_id", F.col("doc.text").alias("text"))
-    found = stored(overlaps(slim, benchmark, **rule)[1].select("doc_row").distinct(), "contaminated")
-    found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
-    return unpacked(whole.join(found, "doc_row", "left_anti"), docs.columns)
+    whole = positioned(docs, "decontam-docs")
+    with temporary(docs.sparkSession):
+        slim = whole.select("doc_row", "doc.doc_id", "doc.text")
+        found = overlaps(slim, benchmark, **rule)[1].select("doc_row").distinct()
+        clean = without(whole, found, "contaminated")
+    return unpacked(clean, docs.columns)
