@@ -114,15 +114,18 @@ class Counter:
             yield from np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=len(some)).tolist()
 
     def counts(self, texts: list[bytes]) -> list[int]:
-        """Tokens of each text."""
-        pieces = [(i, s) for i, t in enumerate(texts) for s in (self.segments(t) if len(t) > self.chunk else (t,))]
+        """Tokens of each text: those of a long one are counted in its spliced segments, encoded as they are."""
         out = [0] * len(texts)
+        for i, t in enumerate(texts):
+            if len(t) > self.chunk:
+                out[i] = sum(self._encoded([s])[0] for s in self.segments(t))
+        short = [i for i, t in enumerate(texts) if len(t) <= self.chunk]
         if not self.word_ends:
-            for (i, _), n in zip(pieces, self._encoded([s for _, s in pieces]), strict=True):
-                out[i] += n
+            for i, n in zip(short, self._encoded([texts[i] for i in short]), strict=True):
+                out[i] = n
             return out
-        for i, s in pieces:
-            words = s.split()
+        for i in short:
+            words = texts[i].split()
             new = list({w for w in words if w not in self.kept and len(w) <= KEPT_LENGTH})
             if len(self.kept) + len(new) > KEPT_WORDS:
                 self.kept.clear()
