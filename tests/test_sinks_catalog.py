@@ -28,7 +28,7 @@ def test_publish_medallion_tables(spark):
 
 
 def test_seed_append_twice_creates_then_appends(spark):
-    seed = spark.createDataFrame([("C001", "Alice", "123-45-6789", 1.0), ("C002", "Bob", None, 2.0)], CUSTOMER)
+    seed = spark.createDataFrame([("S1", "Noor", "321-54-9876", 1.0), ("S2", "Ilse", None, 2.0)], CUSTOMER)
     spark.sql("DROP TABLE IF EXISTS raw_customers")
     append_customer_records(seed, "raw_customers", as_of=datetime(2024, 1, 1))
     append_customer_records(seed, "raw_customers")
