@@ -3,9 +3,13 @@ evolving schema, stored tables as batch or stream, ingestion metadata."""
 
 from __future__ import annotations
 
+import csv
+import io
 import json
-from collections.abc import Sequence
-from functools import reduce
+import os
+from collections import Counter
+from collections.abc import Mapping, Sequence
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +93,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder."""
+    fs, hpath = _file_system(spark, path)
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 def create_marker(spark: SparkSession, path: str) -> None:
     """An empty file whose name is the message: it exists or not, never half."""
     fs, hpath = _file_system(spark, path)
@@ -152,8 +162,9 @@ _HEADER_CHUNK = 1 << 16
 
 def _first_lines(batches):
     """mapInPandas body: open each file (pyarrow file systems) and read bytes up
-    to the first line break only.  Schemes without a file system here yield NULL
-    (caller falls back); a file that cannot be opened or decoded fails the task."""
+    to the first line break outside quotes only.  Schemes without a file system
+    here yield NULL (caller falls back); a file that cannot be opened or decoded
+    fails the task."""
     import pandas as pd
     import pyarrow as pa
     from pyarrow import fs as pafs
@@ -161,20 +172,27 @@ def _first_lines(batches):
     for pdf in batches:
         headers = []
         for uri in pdf["file_path"]:
-            target = uri[len("file:"):] if uri.startswith("file:") and not uri.startswith("file://") else uri
-            try:
-                filesystem, path = pafs.FileSystem.from_uri(target if "://" in target else f"file://{target}")
-            except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
-                headers.append(None)
-                continue
-            buf = b""
+            if "://" not in uri or uri.startswith("file:"):
+                path = "/" + uri[len("file:") :].lstrip("/") if uri.startswith("file:") else uri
+                # As a URI a path has its odd characters quoted.
+                filesystem, path = pafs.LocalFileSystem(), path if os.path.exists(path) else unquote(path)
+            else:
+                try:
+                    filesystem, path = pafs.FileSystem.from_uri(uri)
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                    headers.append(None)
+                    continue
+            buf, end = b"", -1
             with filesystem.open_input_stream(path) as fh:
-                while b"\n" not in buf:
+                while end < 0:
                     chunk = fh.read(_HEADER_CHUNK)
-                    if not chunk:
-                        break
                     buf += chunk
-            line = buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8")
+                    end = buf.find(b"\n")
+                    while end >= 0 and buf.count(b'"', 0, end) % 2:
+                        end = buf.find(b"\n", end + 1)
+                    if not chunk and end < 0:
+                        end = len(buf)
+            line = buf[:end].rstrip(b"\r").decode("utf-8")
             headers.append(line.removeprefix("\ufeff"))
         yield pd.DataFrame({"file_path": pdf["file_path"], "header": headers})
 
@@ -270,6 +288,33 @@ def infer_text_types(text: DataFrame, known: T.StructType | None = None) -> T.St
     return T.StructType([T.StructField(c, found[c], True) for c in text.columns])
 
 
+def header_names(header: str, options: Mapping[str, str] | None = None) -> list[str]:
+    """Column names of a header line; empty ones are ``_c<place>``, repeated ones (in any case) get their place appended."""
+    options = {k.lower(): v for k, v in (options or {}).items()}
+    separator, quote = options.get("sep") or options.get("delimiter") or ",", options.get("quote") or '"'
+    cells = next(csv.reader(io.StringIO(header, newline=""), delimiter=separator, quotechar=quote), [])
+    cells = [c or f"_c{i}" for i, c in enumerate(cells)]
+    often = Counter(c.lower() for c in cells)
+    return [f"{c}{i}" if often[c.lower()] > 1 else c for i, c in enumerate(cells)]
+
+
+def _spellings(path: str) -> set[str]:
+    """The ways in which the path of a file may be written as a URI."""
+    plain = {path, unquote(path)}
+    for p in list(plain):
+        if p.startswith("file:"):
+            p = "/" + p[len("file:") :].lstrip("/")
+        if p.startswith("/"):
+            plain |= {f"file://{p}", f"file:{p}"}
+    # Quoted everywhere, or in the characters only that a URI may not hold.
+    legal = "".join(c for p in plain for c in p if ord(c) > 127) + ":/+!$&'()*,;=@"
+    return plain | {quote(p, safe=":/") for p in plain} | {_quoted_but(p, legal) for p in plain}
+
+
+def _quoted_but(path: str, legal: str) -> str:
+    return "".join(c if c in legal else quote(c) for c in path)
+
+
 def read_csv_text(
     spark: SparkSession,
     paths: Sequence[str],
@@ -280,9 +325,12 @@ def read_csv_text(
     """CSV files whose headers differ, as text columns matched by *name*, and the
     merged schema of their values.
 
-    A single CSV scan over files with different headers assigns values by
-    position, silently.  Here files are grouped by header line, each group is read
-    with its own header, and the groups are combined by name, absent columns NULL.
+    A CSV scan over files with different headers assigns values by position,
+    silently.  Here one scan reads the values of all files by position, each row
+    meets its file's header (a broadcast table of one entry per file), and every
+    column takes the value at its place in that header, absent columns NULL: the
+    plan is the same for one header or hundreds.  A row whose file has no header
+    entry fails the query.  Quoted line breaks need the option ``multiLine``.
     The schema in ``schema_store`` is widened and extended by new columns; values
     stay the text of the file, so a type widened later loses nothing (``007``).
     Only the list of (file, header) pairs reaches the driver: one row per file.
@@ -290,16 +338,19 @@ def read_csv_text(
     paths = list(paths)
     if not paths:
         raise ValueError("no CSV files given")
-    groups: dict[str, list[str]] = {}
-    for row in file_headers(spark, paths).collect():
-        groups.setdefault(row["header"], []).append(row["file_path"])
+    headers = {r["file_path"]: header_names(r["header"] or "", options) for r in file_headers(spark, paths).collect()}
     stored = load_schema(spark, schema_store) if schema_store else None
-    parts = [spark.read.options(header="true", inferSchema="false", **options).csv(files) for files in groups.values()]
-    names = list(dict.fromkeys([*(stored.names if stored else []), *(c for p in parts for c in p.columns)]))
-    text = reduce(
-        DataFrame.unionAll,
-        [p.select(*[(F.col(quoted(c)) if c in p.columns else F.lit(None).cast("string")).alias(c) for c in names]) for p in parts],
-    )
+    names = list(dict.fromkeys([*(stored.names if stored else []), *(c for p in sorted(headers) for c in headers[p])]))
+    width = max(1, *(len(h) for h in headers.values()))
+    by_position = T.StructType([T.StructField(f"c{i}", T.StringType(), True) for i in range(width)])
+    places = [(spelling, [h.index(n) if n in h else -1 for n in names]) for p, h in headers.items() for spelling in _spellings(p)]
+    places = spark.createDataFrame(places, "__path string, __places array<int>")
+    scan = spark.read.options(**{"header": "true", "enforceSchema": "true", "inferSchema": "false", **options}).schema(by_position).csv(paths)
+    rows = scan.select(F.array(*by_position.names).alias("__values"), F.col("_metadata.file_path").alias("__file"))
+    rows = rows.join(F.broadcast(places), F.col("__file") == F.col("__path"), "left")
+    unknown = F.raise_error(F.concat(F.lit("no header known of "), "__file")).cast("array<int>")
+    rows = rows.select("__values", F.coalesce("__places", unknown).alias("__places"))
+    text = rows.select(*[F.get("__values", F.get("__places", F.lit(j))).alias(n) for j, n in enumerate(names)])
     if infer:
         merged = infer_text_types(text, stored)
     else:
