@@ -627,15 +627,15 @@ def q_cost_monitor_alerts(spark, sf_dir):
     _scd2_sql(_EVENTS_FEED_SQL, "user_id", "ts", ["event_type"], ["event_type", "event_id", "value"]),
 )
 def q_scd2_late_batches(spark, sf_dir):
-    """The feed in eight batches that interleave in time (all but the first are late), merged on read."""
+    """The feed in four batches that interleave in time (all but the first are late), merged on read."""
     from lakeshift.streaming import Scd2Sink
 
     root = _scratch(spark, "scd2_late")
     feed = fx.table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "event_id", "value")
     rows = feed.count()
-    sink = Scd2Sink(f"{root}/log", f"{root}/history", ["user_id"], "ts", track=["event_type"], fan_in=3, rebuild_rows=rows // 3)
-    for i in range(8):
-        sink(feed.filter(F.coalesce(F.pmod("event_id", F.lit(8)), F.lit(0)) == i), i)
+    sink = Scd2Sink(f"{root}/log", f"{root}/history", ["user_id"], "ts", track=["event_type"], fan_in=2, rebuild_rows=rows // 2)
+    for i in range(4):
+        sink(feed.filter(F.coalesce(F.pmod("event_id", F.lit(4)), F.lit(0)) == i), i)
     return sink.read(spark)
 
 
@@ -728,6 +728,21 @@ def q_published_tables(spark, sf_dir):
     return as_naive_timestamps(spark.table(f"{db}.gold_event_volume"))
 
 
+@_register("compacted_batches", "SELECT event_id, user_id, event_type, value FROM events")
+def q_compacted_batches(spark, sf_dir):
+    """The events as 16 appended batches, merged to few files; a batch replayed after that changes nothing."""
+    from lakeshift.sinks.batch_table import BatchTable
+
+    table = BatchTable(f"{_scratch(spark, 'batches')}/events", sort_by=["event_type"])
+    events = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    batch = lambda i: events.filter(F.coalesce(F.pmod("event_id", F.lit(16)), F.lit(0)) == i)
+    for i in range(16):
+        table(batch(i), i)
+    table.compact(spark)
+    table(batch(5), 5)
+    return table.read(spark)
+
+
 # ---------------------------------------------------------------- training-data operators
 def _register_llm() -> None:
     """Add the queries of the llm subpackage and the pipeline, where these are present."""

@@ -162,9 +162,9 @@ class Scd2Sink:
         if n["rejects"]:
             rejects = rows.filter(missing).withColumn(BATCH, F.lit(batch_id).cast("long"))
             overwrite_partitions(rejects, f"{self.log}_rejects", [BATCH])
-        if n["rows"]:
-            create_marker(spark, f"{self.log}_runs/{Run(batch_id, batch_id, 0, n['rows']).marker}")
-            self.work.append(self._merge(spark) + self._rebuild_if_due(spark))
+        # A run without rows counts too: it holds the columns of an empty history.
+        create_marker(spark, f"{self.log}_runs/{Run(batch_id, batch_id, 0, n['rows']).marker}")
+        self.work.append(self._merge(spark) + self._rebuild_if_due(spark))
 
     def _merge(self, spark) -> int:
         """Merge the newest ``fan_in`` runs of a level, level by level; the records rewritten."""

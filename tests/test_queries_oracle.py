@@ -10,7 +10,7 @@ from conftest import SF01
 # The queries of the training-data subpackage, which may be absent, have tests of their own.
 LLM = {n for n in E.queries() if n == "pipeline" or n.startswith("op")}
 SLOW = {"sliced_stream", "stream_open_exceptions", "stream_valid_history", "csv_evolution", "csv_type_evolution", "json_stream_bronze",
-        "medallion_gold_top", "medallion_incremental_top"}
+        "medallion_gold_top", "medallion_incremental_top", "scd2_late_batches", "published_tables"}
 
 
 @pytest.fixture(scope="module")

@@ -104,6 +104,13 @@ def test_null_sequences_are_rejected_and_counted(spark, tmp):
     assert rows_of(sink.read(spark)) == expected(spark, first)
 
 
+def test_history_without_any_record(spark, tmp):
+    sink = sink_of(tmp)
+    sink(spark.createDataFrame([(1, "n", None, "x", 1)], SCHEMA), 0)
+    assert rows_of(sink.read(spark)) == [] and sink.rejected(spark).count() == 1
+    assert sink.rebuild(spark) and rows_of(sink.read(spark)) == []
+
+
 def test_batch_appends_only(spark, tmp):
     """A batch below the thresholds reads nothing stored: it works on a log that cannot be read."""
     sink = sink_of(tmp, fan_in=100, rebuild_rows=10**9)
