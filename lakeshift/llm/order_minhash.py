@@ -266,8 +266,10 @@ def _overlapping(entries: DataFrame) -> DataFrame:
 
 def _bucket_pairs(loose: DataFrame, members: DataFrame, comps: DataFrame, fit: DataFrame) -> DataFrame:
     """Pairs of different classes in one bucket, one end in ``loose`` (rep), that the sketches' agreement leaves."""
-    own = members.join(comps, F.col("rep") == F.col("node"), "left").select("value", "rep", F.coalesce("comp", "rep").alias("comp"))
-    rows = own.join(fit, "rep")
+    # Only the buckets that hold a loose text.
+    values = members.join(loose, "rep", "left_semi").select("value").distinct()
+    fitting = stored(members.select("value", "rep").join(values, "value", "left_semi").join(fit, "rep"), "moved-members")
+    rows = fitting.join(comps, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "rep"))
     side = lambda rows, s: rows.select(*[F.col(c).alias(f"{c}_{s}") for c in ("value", "rep", "comp", "n", "held", "kind0", "kind1")])
     common = F.least("held_x", "held_y")
     agree = _agreements("_x", "_y")
