@@ -18,10 +18,11 @@ representative first.  Each bucket then compares its members with one hub (the
 member first in one order of all texts, so the buckets of a group share hubs);
 a linked pair agrees in at least ``FEWEST`` values but with a probability below
 0.001, and pairs with the hub are sorted out by that before their texts are
-fetched.  Where this leaves a hub with members of several classes, these are
-compared by their differences from the hub's text: linked ones share so many
-differences that they meet in a short prefix of their rarest ones (exact; near
-copies that differ in places of their own do not meet).
+fetched.  Where this leaves a hub with members of several classes, these meet
+the group's central text, and those that still are of another class each other
+by their differences from it: linked ones share so many that they meet in a
+short prefix of their rarest ones (exact; near copies that differ in places of
+their own do not meet).
 
 Words are split at white space and compared in lower case (A-Z).  Defined
 cases: a null text counts as empty; all texts without words are one class; a
@@ -204,16 +205,13 @@ def _open_entries(members: DataFrame, comps: DataFrame) -> DataFrame:
     return stored(own.join(several.filter("lo < hi").select("hub", "hub_comp"), "hub"), "open-entries")
 
 
-def _differences(entries: DataFrame, texts: DataFrame) -> DataFrame:
-    """``entries`` with their differences from the hub's text (``diff``: shingles of one text and not of the other, told
+def _differences(both: DataFrame) -> DataFrame:
+    """Open members with their differences from their center's text (``diff``: shingles of one text and not of the other, told
     apart by which) and the numbers that bound a link: two linked members share at least q + q' - r differences.
 
-    Members x and y of a hub of r shingles lack l and l' of them.  They have r - l - l' shingles in common, plus
+    Members x and y of a center of r shingles lack l and l' of them.  They have r - l - l' shingles in common, plus
     every difference that they share; a link asks for s / (1 + s) of both texts' shingles in common.
     """
-    x = texts.select("rep", "n", F.col("shingles").alias("x"))
-    h = texts.select(F.col("rep").alias("hub"), F.col("shingles").alias("h"))
-    both = entries.join(x, "rep").join(h, "hub")
     lacks, adds = F.array_except("h", "x"), F.array_except("x", "h")
     of = lambda a, k: F.transform(a, lambda s: s.cast("long") * 2 + k)
     share = SIMILARITY / (1 + SIMILARITY)
@@ -293,32 +291,76 @@ def _bucket_pairs(loose: DataFrame, members: DataFrame, comps: DataFrame, fit: D
     )
 
 
-def _open_pairs(members: DataFrame, comps: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Pairs of different classes of one hub that the bounds leave, each once.
+def _open_members(members: DataFrame, comps: DataFrame, sketched: DataFrame) -> DataFrame:
+    """(hub, rep, center, n, held, kind0, kind1, x, h) of the hubs whose members are of several classes.
 
-    A text whose shingles other open texts hold too rarely is out first.  The
-    others are compared by their differences from the hub (``_overlapping``),
-    exactly and without a pair per two members.  A text as similar to the hub as a
-    link asks and yet not linked to it (moved passages) has no such bound: its
-    pairs are those of its buckets.
+    A text whose shingles other open texts hold too rarely is out.  ``center`` is the hub's member of the fewest
+    shingles that no other open text holds: the text that the others were made from, or one close to it; ``x`` and
+    ``h`` are the shingles of the member and of the center.
     """
     open_ = _open_entries(members, comps)
     texts = stored(among(sketched, open_.select("rep")).select(F.col("doc_row").alias("rep"), "n", "kind0", "kind1", "shingles"), "open-texts")
     each = texts.select("rep", F.explode("shingles").alias("shingle"))
     again = each.groupBy("shingle").agg(F.count("*").alias("c")).filter("c > 1").select("shingle")
     held = each.join(again, "shingle", "left_semi").groupBy("rep").agg(F.count("*").alias("held"))
-    fit = stored(texts.select("rep", "n", "kind0", "kind1").join(held, "rep").filter(F.col("held") >= SIMILARITY * F.col("n")), "open-fit")
-    kept = open_.join(fit.select("rep"), "rep", "left_semi")
-    several = kept.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("hub")
-    entries = stored(_differences(kept.join(several, "hub", "left_semi"), texts), "open-members")
+    fit = stored(texts.join(held, "rep").filter(F.col("held") >= SIMILARITY * F.col("n")), "open-fit")
+    kept = open_.join(fit, "rep")
+    groups = kept.groupBy("hub").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct((F.col("n") - F.col("held")).alias("own"), "rep")).alias("first")
+    )
+    groups = groups.filter("lo < hi").select("hub", F.col("first.rep").alias("center"))
+    centers = groups.join(fit.select(F.col("rep").alias("center"), F.col("shingles").alias("h")), "center")
+    return stored(kept.drop("comp", "hub_comp").withColumnRenamed("shingles", "x").join(centers, "hub"), "open-members")
+
+
+def _central_pairs(open_: DataFrame) -> DataFrame:
+    """Each open member with its group's center, where their shingles allow a link."""
+    share = SIMILARITY / (1 + SIMILARITY)
+    enough = F.size(F.array_intersect("x", "h")) >= share * (F.size("x") + F.size("h")) - 1e-9
+    pairs = open_.filter(F.col("rep") != F.col("center")).filter(enough)
+    return pairs.select(F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")).distinct()
+
+
+def _open_pairs(open_: DataFrame, members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs of different classes of one hub that the bounds leave, each once.
+
+    Members are compared by their differences from the hub's center
+    (``_overlapping``), exactly and without a pair per two members.  A text as
+    similar to the center as a link asks and yet not linked to it (moved passages)
+    has no such bound: its pairs are those of its buckets.
+    """
+    of = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_of"))
+    named = open_.join(of("rep"), "rep", "left").join(of("center"), "center", "left")
+    named = named.withColumn("comp", F.coalesce("rep_of", "rep")).withColumn("hub_comp", F.coalesce("center_of", "center"))
+    entries = stored(_differences(named), "open-differing")
     loose = (F.col("comp") != F.col("hub_comp")) & (F.col("q") + F.col("q_hub") - F.col("r") <= 1e-9)
     pairs = _overlapping(entries.filter(~loose))
     moved = stored(entries.filter(loose).select("rep").distinct(), "open-moved")
     if moved.limit(1).count():
+        fit = open_.select("rep", "n", "held", "kind0", "kind1").dropDuplicates(["rep"])
         pairs = pairs.unionByName(_bucket_pairs(moved, members, comps, fit)).distinct()
     return pairs
 
 
+def _joined(comps: DataFrame, more: DataFrame) -> DataFrame:
+    """``comps`` (node, comp) after the links ``more`` (a, b): whole classes are joined, the nodes are the classes so far."""
+    if not more.limit(1).count():
+        return comps
+    as_class = lambda c: F.coalesce(F.col(f"{c}_comp"), F.col(c))
+    of = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp"))
+    merged = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(as_class("a").alias("a"), as_class("b").alias("b"))
+    top = components(merged)
+    into = top.select(F.col("node").alias("of"), F.col("comp").alias("into"))
+    joined = (
+        comps.unionByName(top.select(F.col("node"), F.col("node").alias("comp")))
+        .groupBy("node")
+        .agg(F.min("comp").alias("comp"))
+        .join(into, F.col("comp") == F.col("of"), "left")
+        .select("node", F.coalesce("into", "comp").alias("comp"))
+    )
+    return stored(joined, "joined-classes")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_row, doc_id, class_row) for ``docs`` (doc_row, doc_id, text): rows of one class have one ``class_row``."""
     ship_package(docs.sparkSession)
@@ -340,22 +382,12 @@ def classes(docs: DataFrame) -> DataFrame:
     star = stored(promising(stored(star, "star-pairs"), sketched), "promising-pairs")
     links = stored(verified(star, sketched), "star-links")
     comps = components(links)
-    open_pairs = stored(_open_pairs(members, comps, sketched), "open-pairs")
+    open_ = _open_members(members, comps, sketched)
+    # First all meet the group's central text: what can be linked to it is, and no more than few stay open.
+    comps = _joined(comps, stored(verified(stored(_central_pairs(open_), "central-pairs"), sketched), "central-links"))
+    open_pairs = stored(_open_pairs(open_, members, comps), "open-pairs")
     more = stored(verified(open_pairs, sketched), "open-links")
-    if more.limit(1).count():
-        # Whole classes are joined now: the nodes are the classes so far.
-        as_class = lambda c: F.coalesce(F.col(f"{c}_comp"), F.col(c))
-        of = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp"))
-        merged = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(as_class("a").alias("a"), as_class("b").alias("b"))
-        top = components(merged)
-        into = top.select(F.col("node").alias("of"), F.col("comp").alias("into"))
-        comps = (
-            comps.unionByName(top.select(F.col("node"), F.col("node").alias("comp")))
-            .groupBy("node")
-            .agg(F.min("comp").alias("comp"))
-            .join(into, F.col("comp") == F.col("of"), "left")
-            .select("node", F.coalesce("into", "comp").alias("comp"))
-        )
+    comps = _joined(comps, more)
     rep_class = stored(
         groups.join(comps, F.col("rep") == F.col("node"), "left").select("text_key", F.coalesce("comp", "rep").alias("class_row")), "classes"
     )
