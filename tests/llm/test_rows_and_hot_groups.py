@@ -208,6 +208,50 @@ def test_group_of_near_copies_equals_all_pairs(spark, monkeypatch):
     assert len(want) > 40 and pairs[0].count() < 400  # of about 10,000
 
 
+def test_families_of_one_group_meet_once_and_equal_all_pairs(spark, monkeypatch):
+    """Families that share a long passage, of texts of several lengths: the hubs of a group share members, and each text is compared once."""
+    rng = random.Random(23)
+    words = _vocabulary(rng, 3000)
+    passage = [rng.choice(words) for _ in range(90)]
+    texts = []
+    for _ in range(4):
+        family = passage + [rng.choice(words) for _ in range(rng.choice([15, 30, 45]))]
+        for _ in range(40):
+            text = list(family[: rng.randint(len(family) - 12, len(family))])
+            for p in rng.sample(range(len(text)), rng.randint(0, 5)):
+                text[p] = rng.choice(words)
+            texts.append(text)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in combinations(range(len(texts)), 2):
+        common_ = len(sets[i] & sets[j])
+        if common_ >= 0.8 * (len(sets[i]) + len(sets[j]) - common_):
+            parent[find(j)] = find(i)
+    tables = {}
+    real = order_minhash.stored
+
+    def seen(df, name, **k):
+        out = tables[name] = real(df, name, keep=True)
+        return out
+
+    monkeypatch.setattr(order_minhash, "stored", seen)
+    got = {}
+    for r in order_minhash.near_duplicates(docs).collect():
+        got.setdefault(r["class_id"], set()).add(r["doc_id"])
+    want = Counter(frozenset(k for k in range(len(texts)) if find(k) == r) for r in range(len(texts)) if find(r) == r)
+    assert Counter(map(frozenset, got.values())) == want
+    members = tables["open-members"]
+    assert members.count() == members.select("rep").distinct().count() > 100
+    assert tables["open-entries"].count() > 3 * members.count()  # each text is a member of several hubs
+
+
 def test_model_without_training_texts_gives_every_text_probability_one(spark):
     held = next(i for i in range(100) if brown_lm is not None and __import__("zlib").crc32(str(i).encode()) % 10 == 0)
     docs = spark.createDataFrame([(held, "some words of a held out text"), (held, None)], "doc_id long, text string")
