@@ -185,6 +185,13 @@ def location_ranges(events: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ file drops for the streamed flows
 RECORDS_PER_FILE = 2500
+# Beyond this many files a drop's files hold more rows, and not more files: a stream takes a fixed number of files a batch.
+FILES_PER_DROP = 40
+
+
+def records_per_file(rows: DataFrame) -> int:
+    """The most rows that a file of a drop of ``rows`` holds."""
+    return max(RECORDS_PER_FILE, -(-rows.count() // FILES_PER_DROP))
 
 
 def raw_event_lines(events: DataFrame, mutate: bool = True) -> DataFrame:
@@ -205,7 +212,7 @@ def raw_event_lines(events: DataFrame, mutate: bool = True) -> DataFrame:
 
 def write_event_drop(events: DataFrame, folder: str, mutate: bool = True) -> str:
     """Write raw event JSON lines as several files (no shuffle: split by count)."""
-    raw_event_lines(events, mutate).write.option("maxRecordsPerFile", RECORDS_PER_FILE).mode("overwrite").text(folder)
+    raw_event_lines(events, mutate).write.option("maxRecordsPerFile", records_per_file(events)).mode("overwrite").text(folder)
     return folder
 
 
@@ -217,7 +224,7 @@ def write_plain_drop(rows: DataFrame, folder: str, part: int) -> None:
     line = F.to_json(F.struct(*columns, *more))
     if part:
         line = F.when(F.col("event_id") % 14 == 7, F.regexp_replace(line, '"value":[^,}]+', '"value":"n/a"')).otherwise(line)
-    writer = rows.select(line.alias("value")).write.option("maxRecordsPerFile", RECORDS_PER_FILE)
+    writer = rows.select(line.alias("value")).write.option("maxRecordsPerFile", records_per_file(rows))
     writer.mode("append" if part else "overwrite").text(folder)
 
 

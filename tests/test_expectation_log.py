@@ -112,3 +112,23 @@ def test_progress_keeps_fewer_batches_than_the_log(spark, tmp):
         assert observed_totals(query, "s")["input_rows"] < fx.table(spark, SF001, "events").count()
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_batches_of_a_larger_table_are_larger(spark, tmp, monkeypatch):
+    """The query's batches are as many for a table of many times the rows, and its counters whole."""
+    import __spark_entry__
+
+    monkeypatch.setattr(fx, "RECORDS_PER_FILE", 10)
+    types, n = F.element_at(F.array(*map(F.lit, ["click", "view", "odd"])), (F.col("id") % 3 + 1).cast("int")), 20_000
+    events = spark.range(n, numPartitions=2).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("ts"), (F.col("id") % 90).alias("user_id"),
+        types.alias("event_type"), F.lit(1.0).alias("value"), F.lit("{}").alias("props"),
+    )
+    events.write.parquet(f"{tmp}/sf/events.parquet")
+    roots = []
+    real = __spark_entry__._scratch
+    monkeypatch.setattr(__spark_entry__, "_scratch", lambda spark, name: roots.append(real(spark, name)) or roots[-1])
+    got = _rows(__spark_entry__.queries()["stream_expectation_log"](spark, f"{tmp}/sf"))
+    assert {r[4] for r in got} == {n}
+    log = expectation_log(spark, f"{roots[0]}/log")
+    assert log.select("batch_id").distinct().count() <= fx.FILES_PER_DROP // 4 + 2  # 500 of files of ten rows
