@@ -245,8 +245,9 @@ def write_customer_csv_drop(customer: DataFrame, folder: str) -> str:
         base.filter(k % 3 == 1).select("customer_id", "customer_name", "account_balance", "segment"),
         base.filter(k % 3 == 2).select("segment", "account_balance", "customer_id", "customer_name", "nation"),
     ]
+    most = records_per_file(customer)
     for i, g in enumerate(groups):
-        g.write.option("header", "true").option("maxRecordsPerFile", RECORDS_PER_FILE).mode(
+        g.write.option("header", "true").option("maxRecordsPerFile", most).mode(
             "overwrite" if i == 0 else "append"
         ).csv(folder)
     return folder

@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from lakeshift.plans import fixtures as fx
 from lakeshift.sources.files import header_names, read_csv_evolving, read_csv_text
 
 
@@ -55,3 +56,14 @@ def test_header_only_files_short_rows_and_long_rows(spark, tmp):
     assert got == [("3", "2"), ("a", "b"), (None, "1")]  # a row like the header is a row
     with pytest.raises(ValueError):
         read_csv_text(spark, [])
+
+
+def test_files_of_a_drop_grow_in_rows_and_not_in_number(spark, tmp):
+    """A stream takes a fixed number of files a batch: a larger table gives larger batches, and no more of them."""
+    columns = "id AS c_custkey, 'n' AS c_name, 1.5 AS c_acctbal, 's' AS c_mktsegment, 3 AS c_nationkey"
+    files = {}
+    for n in (1000, 300_000):
+        folder = fx.write_customer_csv_drop(spark.range(n, numPartitions=2).selectExpr(*columns.split(", ")), f"{tmp}/{n}")
+        files[n] = [f for f in os.listdir(folder) if f.endswith(".csv")]
+        assert read_csv_evolving(spark, [f"{folder}/{f}" for f in files[n]]).select("customer_id").distinct().count() == n
+    assert len(files[1000]) == 6 and len(files[300_000]) <= fx.FILES_PER_DROP + 6
