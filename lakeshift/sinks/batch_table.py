@@ -15,10 +15,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeshift.sources.files import create_marker, delete_path, folder_bytes, list_names
 
 TARGET_BYTES = 256 << 20
+#: Rows that one task sorts at most, about: stored files of few bytes may hold rows that take many times as much in memory.
+SORT_ROWS = 2_000_000
+_TIE = "__tie"
 
 
 @dataclass(frozen=True, order=True)
@@ -70,7 +74,8 @@ class BatchTable:
         """Merge neighbouring runs below ``target_bytes`` until a file has about that size; the number of runs merged.
 
         First fit in the order of the batches: a run that is large enough already is left as it is and
-        parts the others.  One pass rewrites every small run once."""
+        parts the others.  One pass rewrites every small run once.  A sorted file holds about ``SORT_ROWS`` rows at
+        most, so that the memory of a task does not grow with the runs, also where one key has most of their rows."""
         packs, pack = [], []
         for run in self.runs(spark):
             if run.size >= target_bytes:
@@ -87,7 +92,10 @@ class BatchTable:
             rows = spark.read.option("mergeSchema", "true").parquet(*[f"{self.path}/{r.folder}" for r in pack])
             files = max(1, math.ceil(sum(r.size for r in pack) / target_bytes))
             if self.sort_by:
-                rows = rows.repartitionByRange(files, *self.sort_by).sortWithinPartitions(*self.sort_by)
+                files = max(files, math.ceil(rows.count() / SORT_ROWS))
+                # Rows of one key may fill several files: they are told apart by their place.
+                rows = rows.withColumn(_TIE, F.monotonically_increasing_id()).repartitionByRange(files, *self.sort_by, _TIE)
+                rows = rows.sortWithinPartitions(*self.sort_by).drop(_TIE)
             else:
                 rows = rows.coalesce(files)
             self._store(spark, rows, whole)

@@ -59,3 +59,16 @@ def test_as_a_stream_handler(spark, tmp):
     run_to_completion(fan_out(stream, {"t": table}, f"{tmp}/ck"))
     assert len(table.runs(spark)) == 6 and table.compact(spark) == 6
     assert _rows(table.read(spark)) == list(range(300))
+
+
+def test_no_task_of_a_merge_sorts_more_than_its_rows(spark, tmp, monkeypatch):
+    """Runs of few bytes, most rows of one key: the files that a merge writes are bounded by their rows, and in order."""
+    monkeypatch.setattr("lakeshift.sinks.batch_table.SORT_ROWS", 2000)
+    table = BatchTable(f"{tmp}/t", sort_by=["key"])
+    for i in range(4):
+        rows = spark.range(i * 5000, i * 5000 + 5000, numPartitions=2)
+        table(rows.withColumn("key", F.when(F.col("id") % 10 == 0, F.col("id") % 3)), i)  # null: nine of ten rows
+    assert table.compact(spark) == 4 and _rows(table.read(spark)) == list(range(20_000))
+    files = table.read(spark).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.collect_list("key").alias("keys")).collect()
+    assert max(r["n"] for r in files) < 4000
+    assert all(r["keys"] == sorted(r["keys"]) for r in files)
